@@ -44,6 +44,14 @@ def fixed_1(x: Column) -> Column:
     return _signed(x, text)
 
 
+def zero_padded(prefix: str, number: Column, width: int) -> Column:
+    """``order_000042``; longer numbers stay whole."""
+    digits = F.when(number < 10**width, F.substring((number + 10**width).cast("string"), 2, width)).otherwise(
+        number.cast("string")
+    )
+    return F.concat(F.lit(prefix), digits)
+
+
 def _signed(x: Column, text: Column) -> Column:
     signed = F.when(x < 0, F.concat(F.lit("-"), text)).otherwise(text)
     return F.when(F.isnan(x), F.lit("NaN")).otherwise(signed)

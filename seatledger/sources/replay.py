@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fees import CONVENIENCE_MIN, CONVENIENCE_RATE, FEE_CURRENCY, GST_RATE, SERVICE_FEE
+from ..functions.numbers import zero_padded
 from ..functions.times import iso_utc
 
 AS_OF = dt.datetime(2001, 8, 1)
@@ -58,67 +59,84 @@ def seat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def seat_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seat_lines(spark, sf_dir).groupBy("k").agg(
+def seat_totals(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("k").agg(
         F.sum("price").alias("seat_sum"), F.count("*").cast("int").alias("seat_count")
     )
 
 
-def orders_with_totals(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
-    """Orders, each with its seat totals (null without lines).  One row per order on both sides."""
-    orders = table(spark, sf_dir, "orders") if orders is None else orders
+def orders_with_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders, each with its seat totals (null without lines).  One row per order on both sides.
+
+    Orders and their totals grow together, so none is broadcast: they are
+    merged, both placed by order.
+    """
     slim = orders.select(
         F.col("o_orderkey").alias("k"), "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
-    return slim.join(seat_totals(spark, sf_dir), "k", "left").withColumn("booked", _booked())
-
-
-def booking_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One booking event per order, without its seats: for reports on whole bookings.
-
-    No side of a join is forced to be broadcast; Spark decides by table size.
-    """
-    return bookings_of(with_customers(spark, sf_dir, orders_with_totals(spark, sf_dir)), _no_seats())
-
+    totals = seat_totals(lines).hint("merge")
+    return slim.join(totals, "k", "left").withColumn("booked", _booked())
 
-def seat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One booking event per line item, holding its seat and the order's totals.
-
-    Seat reports unpack the seats at once, so collecting them into arrays first
-    would only add a shuffle.  A very big order stays spread over tasks: the
-    join is an inner one, whose big partitions adaptive execution can split.
-    """
-    headers = with_customers(spark, sf_dir, orders_with_totals(spark, sf_dir))
-    rows = headers.join(seat_lines(spark, sf_dir), "k")
-    return bookings_of(rows, F.array(_seat()))
 
+class Replay:
+    """Events replayed from the tables in a folder; each table is opened once.
 
-def nested_bookings(spark: SparkSession, sf_dir: str, max_seats: int = MAX_SEATS) -> DataFrame:
-    """One booking event per order with all its seats in an array.
-
-    Orders above ``max_seats`` come as several messages, each with the totals of
-    the whole order, so no array and no task grows with an order: lines get a
-    number at the scan, the order's count tells into how many parts they go,
-    and they are moved by order and part.
+    ``orders`` may be given as a stream; the other tables are then static.
     """
-    # The scan's partitions are the same on a retry, so seeded numbers repeat.
-    lines = seat_lines(spark, sf_dir).withColumn("draw", F.floor(F.rand(seed=17) * 2**31).cast("long"))
-    parts = F.ceil(F.col("seat_count") / max_seats)
-    counts = seat_totals(spark, sf_dir).select("k", "seat_count")
-    dealt = lines.join(counts, "k").withColumn("part", (F.col("draw") % parts).cast("int"))
-    arrays = dealt.repartition("k", "part").groupBy("k", "part").agg(
-        F.array_sort(F.collect_list(_seat())).alias("seats")
-    )
-    headers = with_customers(spark, sf_dir, orders_with_totals(spark, sf_dir))
-    big = headers.join(arrays, "k")
-    bare = headers.filter(F.col("seat_count").isNull())
-    return bookings_of(big, F.col("seats")).unionByName(bookings_of(bare, _no_seats()))
 
-
-def with_customers(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return orders.join(customers.join(nations, "c_nationkey"), "o_custkey")
+    def __init__(self, spark: SparkSession, sf_dir: str, orders: DataFrame | None = None):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.lines = seat_lines(spark, sf_dir)
+        orders = table(spark, sf_dir, "orders") if orders is None else orders
+        self.orders = orders_with_totals(orders, self.lines)
+
+    def payments(self) -> DataFrame:
+        return payments_of(self.orders)
+
+    def booking_headers(self) -> DataFrame:
+        """One booking event per order, without its seats: for reports on whole bookings."""
+        return bookings_of(self._with_customers(), _no_seats())
+
+    def seat_messages(self) -> DataFrame:
+        """One booking event per line item, holding its seat and the order's totals.
+
+        Seat reports unpack the seats at once, so collecting them into arrays
+        first would only add a shuffle.  A very big order stays spread over
+        tasks: the join is an inner merge, whose big partitions adaptive
+        execution can split.
+        """
+        rows = self._with_customers().join(self.lines.hint("merge"), "k")
+        return bookings_of(rows, F.array(_seat()))
+
+    def nested_bookings(self, max_seats: int = MAX_SEATS) -> DataFrame:
+        """One booking event per order with all its seats in an array.
+
+        Orders above ``max_seats`` come as several messages, each with the totals
+        of the whole order, so no array and no task grows with an order: lines
+        get a number at the scan, the order's count tells into how many parts
+        they go, and they are moved by order and part.
+        """
+        # The scan's partitions are the same on a retry, so seeded numbers repeat.
+        lines = self.lines.withColumn("draw", F.floor(F.rand(seed=17) * 2**31).cast("long"))
+        counts = seat_totals(self.lines).select("k", F.ceil(F.col("seat_count") / max_seats).alias("parts"))
+        dealt = lines.join(counts.hint("merge"), "k").withColumn("part", (F.col("draw") % F.col("parts")).cast("int"))
+        arrays = (
+            dealt.repartition("k", "part")
+            .groupBy("k", "part")
+            .agg(F.array_sort(F.collect_list(_seat())).alias("seats"))
+        )
+        headers = self._with_customers()
+        filled = headers.join(arrays.hint("merge"), "k")
+        bare = headers.filter(F.col("seat_count").isNull())
+        return bookings_of(filled, F.col("seats")).unionByName(bookings_of(bare, _no_seats()))
+
+    def _with_customers(self) -> DataFrame:
+        """Orders with the customer's city.  Spark decides by table size how to join."""
+        customers = table(self.spark, self.sf_dir, "customer").select(
+            F.col("c_custkey").alias("o_custkey"), "c_nationkey"
+        )
+        nations = table(self.spark, self.sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+        return self.orders.join(customers.join(nations, "c_nationkey"), "o_custkey")
 
 
 def bookings_of(rows: DataFrame, seats: Column) -> DataFrame:
@@ -137,7 +155,7 @@ def bookings_of(rows: DataFrame, seats: Column) -> DataFrame:
     person = cust.cast("string")
     return rows.select(
         F.when(k % 107 != 0, order_id(k)).alias("order_id"),
-        F.format_string("booking_%06d", k).alias("booking_id"),
+        zero_padded("booking_", k, 6).alias("booking_id"),
         F.when(k % 101 == 0, "not a time").otherwise(iso_utc("booked")).alias("booking_time"),
         F.struct(
             F.when(cust % 103 != 0, F.concat(F.lit("cust"), person)).alias("customer_id"),
@@ -148,7 +166,7 @@ def bookings_of(rows: DataFrame, seats: Column) -> DataFrame:
             _pick(AGE_GROUPS, cust % 4).alias("age_group"),
         ).alias("customer"),
         F.struct(
-            F.when(k % 223 != 0, F.format_string("event%03d", k % 50 + 1)).alias("event_id"),
+            F.when(k % 223 != 0, zero_padded("event", k % 50 + 1, 3)).alias("event_id"),
             name.alias("event_name"),
             kind.alias("event_type"),
             F.lit("India").alias("event_location"),
@@ -170,10 +188,6 @@ def bookings_of(rows: DataFrame, seats: Column) -> DataFrame:
     )
 
 
-def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payments_of(orders_with_totals(spark, sf_dir))
-
-
 def payments_of(orders: DataFrame) -> DataFrame:
     """Order rows (with totals) to their one or two payment attempts; some orders have none."""
     k, a = F.col("k"), F.col("a")
@@ -192,8 +206,8 @@ def payments_of(orders: DataFrame) -> DataFrame:
     status = F.when(failed, "Failed").when(k % 251 == 0, "Pending").otherwise("Success")
     rows = rows.withColumn("base", base.cast("double")).withColumn("paid", paid)
     return rows.select(
-        F.format_string("payment_%06d_%d", k, a).alias("payment_id"),
-        F.format_string("TXN%08d", 2 * k + a).alias("transaction_id"),
+        F.concat(zero_padded("payment_", k, 6), F.lit("_"), a.cast("string")).alias("payment_id"),
+        zero_padded("TXN", 2 * k + a, 8).alias("transaction_id"),
         order_id(k).alias("order_id"),
         iso_utc("paid").alias("payment_time"),
         method.alias("payment_method"),
@@ -220,7 +234,7 @@ def payments_of(orders: DataFrame) -> DataFrame:
 
 
 def order_id(k: Column) -> Column:
-    return F.format_string("order_%06d", k)
+    return zero_padded("order_", k, 6)
 
 
 def _booked() -> Column:
