@@ -26,25 +26,37 @@ SECTION_FACTORS = {
 }
 
 
-def fee_columns(amount: Column) -> dict[str, Column]:
-    """Breakdown of an amount.  The total is built from the unrounded convenience fee."""
-    amount = amount.cast("double")
-    gst = round_cents(amount * GST_RATE)
-    fee = F.when(amount.isNotNull(), F.greatest(amount * CONVENIENCE_RATE, F.lit(CONVENIENCE_MIN)))
-    return {
+def with_tax_and_fees(df: DataFrame, amount_col: str, prefix: str = "") -> DataFrame:
+    """Add the breakdown of ``amount_col`` as ``{prefix}base_amount`` and so on.
+
+    Existing columns of these names are replaced.  The total is built from the
+    unrounded convenience fee.  Rounding reads its input several times, so each
+    input is a column of its own and is computed once.
+    """
+    amount, gst, fee, total = (F.col(f"__{c}") for c in ("amount", "gst", "fee", "total"))
+    steps = (
+        df.withColumn("__amount", F.col(amount_col).cast("double"))
+        .withColumns(
+            {
+                "__gst": amount * GST_RATE,
+                "__fee": F.when(amount.isNotNull(), F.greatest(amount * CONVENIENCE_RATE, F.lit(CONVENIENCE_MIN))),
+            }
+        )
+        .withColumn("__gst", round_cents(gst))
+        .withColumn("__total", amount + gst + fee + SERVICE_FEE)
+    )
+    parts = {
         "base_amount": round_cents(amount),
         "gst_amount": gst,
         "gst_rate": F.lit(GST_RATE),
         "convenience_fee": round_cents(fee),
         "service_fee": F.lit(SERVICE_FEE),
-        "total_amount": round_cents(amount + gst + fee + SERVICE_FEE),
+        "total_amount": round_cents(total),
         "currency": F.lit(FEE_CURRENCY),
     }
-
-
-def with_tax_and_fees(df: DataFrame, amount_col: str) -> DataFrame:
-    """Add the breakdown of ``amount_col``; existing columns of these names are replaced."""
-    return df.withColumns(fee_columns(F.col(amount_col)))
+    return steps.withColumns({prefix + name: part for name, part in parts.items()}).drop(
+        "__amount", "__gst", "__fee", "__total"
+    )
 
 
 def section_factor(section: str | Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fees import fee_columns, seat_price
+from ..functions.fees import seat_price, with_tax_and_fees
 
 TOLERANCE = 0.01
 AUDITED_FEES = ["gst_amount", "convenience_fee", "service_fee", "total_amount"]
@@ -16,10 +16,10 @@ def fee_audit(payments: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
 
     A part missing on one side only counts as different.
     """
-    due = fee_columns(F.col("base_amount"))
-    return payments.withColumns(
-        {f"{part}_differs": _differs(F.col(part), due[part], tolerance) for part in AUDITED_FEES}
-    )
+    due = with_tax_and_fees(payments, "base_amount", "due_")
+    return due.withColumns(
+        {f"{part}_differs": _differs(F.col(part), F.col(f"due_{part}"), tolerance) for part in AUDITED_FEES}
+    ).select(*payments.columns, *[f"{part}_differs" for part in AUDITED_FEES])
 
 
 def fee_audit_summary(payments: DataFrame, by: list[str] | None = None) -> DataFrame:

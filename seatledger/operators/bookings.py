@@ -57,9 +57,9 @@ def validate_bookings(events: DataFrame, arrival: str = "arrival_time") -> DataF
     )
 
 
-def keep_valid_seats(bookings: DataFrame) -> DataFrame:
-    """Drop invalid seats, and bookings left without any, before rows are moved."""
-    return bookings.withColumn("seats", F.filter("seats", _valid_seat)).filter(F.size("seats") > 0)
+def with_seats(bookings: DataFrame) -> DataFrame:
+    """Drop bookings that hold no seats before rows are moved."""
+    return bookings.filter(F.size("seats") > 0)
 
 
 def flatten_seats(bookings: DataFrame) -> DataFrame:
@@ -82,10 +82,6 @@ def flatten_seats(bookings: DataFrame) -> DataFrame:
     )
 
 
-def _valid_seat(seat: Column) -> Column:
-    return seat["seat_number"].isNotNull() & _positive(seat["price"])
-
-
 def _positive(amount: Column) -> Column:
     """True or false, never null; NaN is not positive."""
     return F.coalesce((amount > 0) & ~F.isnan(amount), F.lit(False))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.bookings import flatten_seats, keep_valid_seats, validate_bookings
+from ..operators.bookings import flatten_seats, validate_bookings, with_seats
 from ..operators.correlate import correlate, fact_columns, with_measures
 from ..operators.payments import validate_payments
 
@@ -17,7 +17,7 @@ def booking_fact(booking_events: DataFrame, payment_events: DataFrame, **join_op
     inner steps, so the rows are the same, but the shuffle and, on streams, the
     join state hold each booking once instead of once per seat.
     """
-    bookings = keep_valid_seats(validate_bookings(booking_events))
+    bookings = with_seats(validate_bookings(booking_events))
     payments = validate_payments(payment_events)
     pairs = correlate(bookings, payments, **join_options)
     return fact_columns(flatten_seats(with_measures(pairs)))

@@ -113,13 +113,17 @@ class Replay:
 
         Orders above ``max_seats`` come as several messages, each with the totals
         of the whole order, so no array and no task grows with an order: lines
-        get a number at the scan, the order's count tells into how many parts
-        they go, and they are moved by order and part.
+        get a number at the scan, the table of big orders tells into how many
+        parts they go, and they are moved by order and part.  That table is put
+        behind a shuffle of its own, so adaptive execution sees its true size
+        and may broadcast it only then.
         """
         # The scan's partitions are the same on a retry, so seeded numbers repeat.
         lines = self.lines.withColumn("draw", F.floor(F.rand(seed=17) * 2**31).cast("long"))
-        counts = seat_totals(self.lines).select("k", F.ceil(F.col("seat_count") / max_seats).alias("parts"))
-        dealt = lines.join(counts.hint("merge"), "k").withColumn("part", (F.col("draw") % F.col("parts")).cast("int"))
+        parts = F.ceil(F.col("seat_count") / max_seats).alias("parts")
+        big = seat_totals(self.lines).select("k", parts).filter(F.col("parts") > 1).hint("rebalance")
+        part = (F.col("draw") % F.coalesce("parts", F.lit(1))).cast("int")
+        dealt = lines.join(big, "k", "left").withColumn("part", part)
         arrays = (
             dealt.repartition("k", "part")
             .groupBy("k", "part")
@@ -131,12 +135,17 @@ class Replay:
         return bookings_of(filled, F.col("seats")).unionByName(bookings_of(bare, _no_seats()))
 
     def _with_customers(self) -> DataFrame:
-        """Orders with the customer's city.  Spark decides by table size how to join."""
+        """Orders with the customer's city.
+
+        Customers grow with the data and are merged, not broadcast.  The rows
+        are then placed by customer, so a later join by order moves both its
+        sides itself, which adaptive skew handling needs.
+        """
         customers = table(self.spark, self.sf_dir, "customer").select(
             F.col("c_custkey").alias("o_custkey"), "c_nationkey"
         )
         nations = table(self.spark, self.sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-        return self.orders.join(customers.join(nations, "c_nationkey"), "o_custkey")
+        return self.orders.join(customers.join(nations, "c_nationkey").hint("merge"), "o_custkey")
 
 
 def bookings_of(rows: DataFrame, seats: Column) -> DataFrame:
