@@ -69,4 +69,4 @@ def section_factor(section: str | Column) -> Column:
 def seat_price(base: str | Column, section: str | Column) -> Column:
     """Whole-number price of a seat: the fraction is cut off."""
     base = F.col(base) if isinstance(base, str) else base
-    return (base * section_factor(section)).cast("long")
+    return (base * section_factor(section)).try_cast("long")

@@ -62,7 +62,7 @@ def rupees(x: Column) -> Column:
 
     Digits are grouped 3-2-2 from the right; at most two decimals, none padded.
     """
-    amount = F.coalesce(x, F.lit(0.0)).cast("decimal(38,2)")
+    amount = F.coalesce(x, F.lit(0.0)).try_cast("decimal(38,2)")
     text = F.abs(amount).cast("string")
     whole, cents = F.split_part(text, F.lit("."), F.lit(1)), F.split_part(text, F.lit("."), F.lit(2))
     grouped = F.regexp_replace(whole, r"(?<=\d)(?=(\d\d)*\d{3}$)", ",")

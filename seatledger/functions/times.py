@@ -32,8 +32,8 @@ def weekday_name(t: str | Column) -> Column:
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:
-    """Second boundaries crossed from ``start`` to ``end``."""
-    return (F.unix_seconds(end) - F.unix_seconds(start)).cast("int")
+    """Second boundaries crossed from ``start`` to ``end``; null beyond the range of an int."""
+    return (F.unix_seconds(end) - F.unix_seconds(start)).try_cast("int")
 
 
 def instant(as_of: str | dt.datetime | Column | None) -> Column:

@@ -32,6 +32,8 @@ def correlate(
     the minute marks between both times, so a payment of the same minute counts
     even when it came slightly before the booking.  The linear bounds given with
     it only limit the join state; every boundary match lies within them.
+    ``spread`` splits the messages of a busy order on streams, see
+    :func:`interval_join`.
     """
     booked, paid = TIME_COLUMNS[time_basis]
     if minute_semantics == "elapsed":
@@ -51,7 +53,7 @@ def correlate(
         upper=upper,
         extra=extra,
         spread=spread,
-        spread_by=["booking_id", "booking_enqueued_time"],
+        spread_by=[c for c in ("booking_id", "booking_enqueued_time", "seats") if c in bookings.columns],
     )
 
 

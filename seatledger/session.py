@@ -8,6 +8,10 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Join and window state on disk instead of in the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Rows carry more work than bytes here: keep all cores busy on small shuffles.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }

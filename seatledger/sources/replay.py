@@ -79,16 +79,12 @@ def orders_with_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 class Replay:
-    """Events replayed from the tables in a folder; each table is opened once.
+    """Events replayed from the tables in a folder; each table is opened once."""
 
-    ``orders`` may be given as a stream; the other tables are then static.
-    """
-
-    def __init__(self, spark: SparkSession, sf_dir: str, orders: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.lines = seat_lines(spark, sf_dir)
-        orders = table(spark, sf_dir, "orders") if orders is None else orders
-        self.orders = orders_with_totals(orders, self.lines)
+        self.orders = orders_with_totals(table(spark, sf_dir, "orders"), self.lines)
 
     def payments(self) -> DataFrame:
         return payments_of(self.orders)

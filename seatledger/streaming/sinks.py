@@ -55,5 +55,14 @@ def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped behind the watermark, over the batches the query still reports."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def _timed(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -83,7 +83,7 @@ def one_by_one(spark, batches):
         query = sinks.append_stream(rows, f"{path}/data", f"{path}/checkpoint")
         sinks.run_to_end(query)
         state.append(sum(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress[-1:] if p["stateOperators"]))
-    return spark.read.parquet(f"{path}/data"), state
+    return spark.read.parquet(f"{path}/data"), state, sinks.late_rows(query)
 
 
 def later(seconds):
@@ -99,9 +99,10 @@ def test_pairs_over_restarts_late_rows_and_state(spark):
         (([far], [later(90_000)]), ([changed(PAYMENT, payment_id="p_far", order_id="order_far")], [later(90_000)])),
         (([], []), ([changed(PAYMENT, payment_id="p_late")], [later(30)])),  # behind the watermark
     ]
-    rows, state = one_by_one(spark, batches)
+    rows, state, late = one_by_one(spark, batches)
     found = sorted((r.payment_id, r.seat_number) for r in rows.collect())
     assert found == [("p_far", "S-2"), ("p_far", "V-1"), ("payment_1", "S-2"), ("payment_1", "V-1")]
+    assert late == 1
     assert state[-1] <= 3  # only the far order's rows are still kept
 
 
