@@ -23,14 +23,15 @@ def booking_fact(booking_events: DataFrame, payment_events: DataFrame, **join_op
     return fact_columns(flatten_seats(with_measures(pairs)))
 
 
-def payment_grain(fact: DataFrame) -> DataFrame:
+def payment_grain(fact: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row per payment instead of one per seat, with the payment's own columns.
 
-    Seat columns are dropped.  An order with several bookings keeps the one with
-    the smallest values, so the choice does not depend on the run.
+    Seat columns are dropped; name the ``columns`` a report needs to move no
+    others.  An order with several bookings keeps the one with the smallest
+    values, so the choice does not depend on the run.
     """
     seat = {"seat_number", "seat_section", "seat_price", "seat_tier"}
-    kept = [c for c in fact.columns if c not in seat and c != "payment_id"]
+    kept = columns or [c for c in fact.columns if c not in seat and c != "payment_id"]
     return (
         fact.groupBy("payment_id")
         .agg(F.min(F.struct(*kept)).alias("row"))

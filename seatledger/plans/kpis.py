@@ -16,6 +16,17 @@ from ..functions.times import days_before
 
 PERIOD_LABEL = "Last 7 Days"
 MOBILE, WEBSITE = "Mobile App", "Website"
+WEEKLY_INPUTS = [
+    "booking_time",
+    "customer_id",
+    "customer_city",
+    "event_category",
+    "booking_platform",
+    "payment_status",
+    "total_amount",
+    "alert_category",
+    "processing_time_ms",
+]
 
 
 def count_if(test: Column) -> Column:

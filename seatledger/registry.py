@@ -201,7 +201,8 @@ def weekly_kpis(spark, d):
 
 @query
 def weekly_kpis_payment_grain(spark, d):
-    return _weekly(kpis.weekly_kpis(payment_grain(fact(spark, d)), AS_OF))
+    recent = kpis.last_days(fact(spark, d), 7, AS_OF)
+    return _weekly(kpis.weekly_kpis(payment_grain(recent, kpis.WEEKLY_INPUTS), AS_OF))
 
 
 @query

@@ -68,13 +68,14 @@ def seat_totals(lines: DataFrame) -> DataFrame:
 def orders_with_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Orders, each with its seat totals (null without lines).  One row per order on both sides.
 
-    Orders and their totals grow together, so none is broadcast: they are
-    merged, both placed by order.
+    Orders and their totals grow together, so none is broadcast, they are merged.
+    Totals are already placed by order; giving the key anew hides that, so the
+    join moves both sides itself and a busy order can be split.
     """
     slim = orders.select(
         F.col("o_orderkey").alias("k"), "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
-    totals = seat_totals(lines).hint("merge")
+    totals = seat_totals(lines).withColumn("k", F.col("k").bitwiseXOR(F.lit(0))).hint("merge")
     return slim.join(totals, "k", "left").withColumn("booked", _booked())
 
 
@@ -123,7 +124,7 @@ class Replay:
         arrays = (
             dealt.repartition("k", "part")
             .groupBy("k", "part")
-            .agg(F.array_sort(F.collect_list(_seat())).alias("seats"))
+            .agg(F.sort_array(F.collect_list(_seat())).alias("seats"))
         )
         headers = self._with_customers()
         filled = headers.join(arrays.hint("merge"), "k")
