@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import sharding
+from . import lines, sharding
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.remove_widespread(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_spread", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(read(spark, sf_dir, "documents"))
 
@@ -20,5 +26,26 @@ def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
 
+LINES_SQL = """
+WITH line AS (
+    SELECT doc_id, source, line_no, trim(line) AS line, line AS raw,
+           length(trim(line)) - length(replace(trim(line), ' ', '')) >= 4 AS counts
+    FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                 unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents)
+), spread AS (
+    SELECT line, min((doc_id, line_no)) AS first FROM line WHERE counts
+    GROUP BY line HAVING count(DISTINCT source) >= 5
+), marked AS (
+    SELECT l.doc_id, l.line_no, l.raw, s.line IS NOT NULL AS spread,
+           s.line IS NOT NULL AND (l.doc_id, l.line_no) <> s.first AS removed
+    FROM line l LEFT JOIN spread s ON l.line = s.line AND l.counts
+)
+SELECT doc_id, count(*)::INT AS n_lines, count(*) FILTER (WHERE spread)::INT AS n_spread,
+       count(*) FILTER (WHERE removed)::INT AS n_removed,
+       md5(coalesce(string_agg(raw, chr(10) ORDER BY line_no) FILTER (WHERE NOT removed), '')) AS text_md5
+FROM marked GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_spread": LINES_SQL}
