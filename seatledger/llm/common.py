@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.workspace import workspace
@@ -25,10 +27,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers find this package.
+
+    A cluster gets the package like any other (``--py-files``); the workers of
+    a local session do not share the driver's import path and are told it.
+    """
+    context = df.sparkSession.sparkContext
+    if context.master.startswith("local["):
+        context.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[2])
+    return df.mapInArrow(fn, schema)
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows of about ``most_bytes`` of ``column``; a longer value makes a run of its own."""
     start = size = 0
-    for i, n in enumerate(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()):
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
         if i > start and size + n > most_bytes:
             yield batch.slice(start, i - start)
             start, size = i, 0
