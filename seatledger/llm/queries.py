@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, sharding, tokens
+from . import lines, packing, sharding, tokens
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op2_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.remove_widespread(read(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_spread", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))

@@ -36,7 +36,9 @@ OVERLAP = 512
 #: A block is this many overlaps long.
 BLOCK = 32
 #: Remembered words of each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 250_000
+#: Longer words are encoded each time.
+LONGEST = 100
 
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Latin text: here the classes of all regular-expression libraries agree.
@@ -50,12 +52,13 @@ class Memory(dict):
         super().__init__()
         self.make, self.old = make, {}
 
-    def learn(self, words: Iterable[str]) -> None:
-        new = []
+    def of(self, words: list[str]) -> list:
+        """The values of ``words``, in order."""
         if len(self) > REMEMBERED:
             self.old = dict(self)
             self.clear()
-        for word in set(words).difference(self.keys()):
+        new = []
+        for word in {w for w in words if w not in self}:
             if (value := self.old.get(word)) is None:
                 new.append(word)
             else:
@@ -63,6 +66,11 @@ class Memory(dict):
         for start in range(0, len(new), 1000):
             part = new[start : start + 1000]
             self.update(zip(part, self.make(part)))
+        values = [self[word] for word in words]
+        for word in new:
+            if len(word) > LONGEST:
+                del self[word]
+        return values
 
 
 @cache
@@ -75,9 +83,36 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Letters in composed form with one-letter lower forms: one pre-token, the same before and after normalizing.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+@cache
+def plain_word(path: str) -> Callable[[str], list[int]]:
+    """Ids of a word of such letters, with or without a space before it, from the library's model alone.
+
+    The model works on bytes written as characters; the library's own
+    pre-tokenizer gives the writing.
+    """
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    write = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    table = {ord(c): write(c)[0][0] for c in map(chr, range(32, 256)) if c == " " or LETTERS.fullmatch(c)}
+    model = tokenizer(path).model.tokenize
+    return lambda word: [t.id for t in model(word.translate(table))]
+
+
 def _lengths(path: str) -> Callable[[list[str]], list[int]]:
-    encode = tokenizer(path).encode_batch_fast
-    return lambda words: [len(e.ids) for e in encode(words, add_special_tokens=False)]
+    encode, plain, is_plain = tokenizer(path).encode_batch_fast, plain_word(path), LETTERS.fullmatch
+
+    def lengths(words: list[str]) -> list[int]:
+        out = [len(plain(w)) if is_plain(w, w.startswith(" ")) else 0 for w in words]
+        rest = [i for i, n in enumerate(out) if not n]
+        for i, e in zip(rest, encode([words[i] for i in rest], add_special_tokens=False)):
+            out[i] = len(e.ids)
+        return out
+
+    return lengths
 
 
 @cache
@@ -94,11 +129,9 @@ def count_tokens(texts: list[str], path: str) -> list[int]:
     out = []
     for text in texts:
         if _OTHER.search(text) or any(s in text for s in special):
-            out.append(_lengths(path)([text])[0])
+            out.append(len(tokenizer(path).encode_batch_fast([text], add_special_tokens=False)[0].ids))
         else:
-            words = words_of(text)
-            known.learn(words)
-            out.append(sum(map(known.__getitem__, words)))
+            out.append(sum(known.of(words_of(text))))
     return out
 
 
