@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, packing, sharding, tokens
+from . import jaccard, lines, packing, sharding, tokens
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_spread", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def op4_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(read(spark, sf_dir, "documents"))
 
@@ -61,5 +65,27 @@ FROM marked GROUP BY doc_id
 """
 
 
+JACCARD_SQL = """
+WITH RECURSIVE word AS (
+    SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9\\x{80}-\\x{10FFFF}]+') AS w FROM documents
+), sets AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM word WHERE len(w) > 0)
+), sized AS (
+    SELECT doc_id, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS same FROM sets GROUP BY doc_id
+), pair AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+    SELECT a, b FROM pair JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE k >= 0.8 * (x.n + y.n - k) - 1e-9
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b
+), class AS (SELECT a, min(b) AS class_id FROM reach GROUP BY a
+), copy AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY same) AS copy_of, count(*) OVER (PARTITION BY same) AS n_copies FROM sized)
+SELECT d.doc_id, class_id, coalesce(copy_of, d.doc_id) AS copy_of, (SELECT count(*) FROM link WHERE a = d.doc_id) AS n_links,
+       coalesce(n_copies, 1) AS n_copies, d.doc_id = class_id AS kept
+FROM documents d JOIN class ON class.a = d.doc_id LEFT JOIN copy ON copy.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_spread": LINES_SQL}
+    return {"op3_line_spread": LINES_SQL, "op4_chosen_path_join": JACCARD_SQL}
