@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, lines, packing, sharding, tokens
+from . import embeddings, jaccard, lines, packing, sharding, tokens
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(read(spark, sf_dir, "documents"))
 
 
+def op9_pivot_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
@@ -87,5 +91,20 @@ FROM documents d JOIN class ON class.a = d.doc_id LEFT JOIN copy ON copy.doc_id
 """
 
 
+VECTORS_SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON a = vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_spread": LINES_SQL, "op4_chosen_path_join": JACCARD_SQL}
+    return {"op3_line_spread": LINES_SQL, "op4_chosen_path_join": JACCARD_SQL, "op9_pivot_join": VECTORS_SQL}
