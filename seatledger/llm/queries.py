@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, jaccard, lines, packing, secrets, sharding, tokens
+from . import chat, decontamination, embeddings, jaccard, lines, packing, secrets, sharding, tokens, toxicity
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op5_incremental_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(turns.union(extra)))
 
 
+def op6_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, read(spark, sf_dir, "labels"))).drop("text_hash")
+
+
 def op7_layered_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(read(spark, sf_dir, "documents"))
 
@@ -55,6 +60,11 @@ def op9_pivot_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return leaks.drop("text_hash")
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
