@@ -4,7 +4,8 @@ Each round rewrites the edges so that every node points at the smallest
 neighbour; the number of rounds grows with the logarithm of the longest chain.
 Minima are aggregated before the shuffle and joined back, so that a node with a
 third of all edges is no single task's work.  Rounds are stored in the shared
-folder.
+folder.  Partitions are sized by the number of edges: a round over few edges is
+not cut into as many tasks as the session's other shuffles.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
+#: Edges per partition of a round, and the least number of partitions.
+PART_EDGES, LEAST_PARTS = 50_000, 8
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """``node``, ``root`` for every node of ``edges (a, b)``: the smallest node it is connected with.
 
@@ -24,7 +29,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     now = edges.filter("a <> b").select(larger.alias("a"), smaller.alias("b")).distinct()
     now, before = stored(now, label), None
     while (mark := _mark(now)) != before:
-        now, before = stored(_small_star(_large_star(now)), label), mark
+        parts = max(LEAST_PARTS, mark[0] // PART_EDGES)
+        now, before = stored(_small_star(_large_star(now, parts), parts), label), mark
     roots = now.select("b").distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         roots.select(F.col("b").alias("node"), F.col("b").alias("root"))
@@ -37,15 +43,15 @@ def _mark(edges: DataFrame) -> tuple:
     )
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
     both = edges.union(edges.select("b", "a"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
-    up = both.filter("b > a").join(least, F.col("a") == F.col("n"))
-    return up.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    up = both.filter("b > a").join(least.coalesce(parts), F.col("a") == F.col("n"))
+    return up.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").coalesce(parts).distinct().coalesce(parts)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+def _small_star(edges: DataFrame, parts: int) -> DataFrame:
+    least = edges.groupBy("a").agg(F.min("b").alias("m")).coalesce(parts)
     joined = edges.join(least.withColumnRenamed("a", "n"), F.col("a") == F.col("n"))
-    moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").coalesce(parts)
+    return moved.union(least.select("a", F.col("m").alias("b"))).distinct().coalesce(parts)

@@ -33,9 +33,12 @@ THRESHOLD = 0.8
 RECALL = 0.999999
 COORDINATES, CHILDREN = 64, 3
 #: Nodes of at most so many classes are compared by brute force.
-SMALL = 64
-#: A node is all near copies when its classes agree on this share of sampled coordinates.
-DENSE = 0.5
+SMALL = 512
+#: A node is all near copies when its classes agree on this share of sampled coordinates; for a node
+#: of up to ``MEDIUM`` classes, which costs little to compare, half of that is enough.
+DENSE, MEDIUM = 0.5, 4096
+#: Classes per partition while paths are followed: rows are few bytes.
+PART_CLASSES = 10_000
 #: Nodes that are large after so many splits are joined as a whole.
 DEPTH = 8
 #: Coordinates that must agree: five standard errors below the threshold.
@@ -110,10 +113,10 @@ def _token(at: Column | int) -> Column:
     return F.substring("sketch", start.cast("int"), F.lit(4))
 
 
-def _sized(rows: DataFrame) -> DataFrame:
-    """``rows (parent, coordinate, node, cid)`` of nodes with company, with the node's size ``m``."""
-    sizes = rows.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1")
-    return stored(rows.join(sizes, "node"), "nodes")
+def _sized(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows (node, cid)`` of nodes with company, with the node's size ``m``."""
+    sizes = rows.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1").coalesce(parts)
+    return stored(rows.join(sizes, "node").coalesce(parts), "nodes")
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,19 +145,20 @@ def candidate_edges(classes: DataFrame, times: int) -> DataFrame:
     """Edges ``a``, ``b`` whose components hold every pair found on a shared path."""
     order = np.random.default_rng(7).permutation(COORDINATES)
     roots = [
-        F.struct(F.lit(r).cast("long").alias("parent"), F.lit(j).alias("coordinate"), F.xxhash64(F.lit(r), F.lit(at), _token(at)).alias("node"))
+        F.xxhash64(F.lit(r), F.lit(at), _token(at))
         for r in range(times)
-        for j, at in enumerate(int(x) for x in order[np.arange(r * CHILDREN, (r + 1) * CHILDREN) % COORDINATES])
+        for at in (int(x) for x in order[np.arange(r * CHILDREN, (r + 1) * CHILDREN) % COORDINATES])
     ]
-    level = classes.select("cid", F.explode(F.array(*roots)).alias("p")).select("p.parent", "p.coordinate", "p.node", "cid")
+    level = classes.select("cid", F.explode(F.array(*roots)).alias("node"))
     sketches = classes.select("cid", "sketch")
+    parts = max(8, classes.count() // PART_CLASSES)
     found, depth = None, 0
     while True:
         depth += 1
-        nodes = _sized(level)
-        leaves = nodes.filter(F.col("m") <= SMALL).select("node", "cid").join(sketches, "cid")
-        leaves = leaves.repartition("node").sortWithinPartitions("node")
-        edges = stored(map_arrow(leaves, _near, "a long, b long").distinct(), "edges")
+        nodes = _sized(level, parts)
+        leaves = nodes.filter(F.col("m") <= SMALL).select("node", "cid").join(sketches, "cid").coalesce(parts)
+        leaves = leaves.repartition("node").coalesce(parts).sortWithinPartitions("node")
+        edges = stored(map_arrow(leaves, _near, "a long, b long"), "edges")
         large = nodes.filter(F.col("m") > SMALL).select("node", "cid", "m")
         found = edges if found is None else found.union(edges)
         if not large.limit(1).count():
@@ -163,13 +167,15 @@ def candidate_edges(classes: DataFrame, times: int) -> DataFrame:
         picks = [F.pmod(F.xxhash64("node", F.lit(depth), F.lit(j)), F.lit(COORDINATES)) for j in range(CHILDREN)]
         children = F.array(*[F.struct(F.lit(j).alias("coordinate"), F.xxhash64("node", F.lit(j), _token(at)).alias("child")) for j, at in enumerate(picks)])
         split = large.join(sketches, "cid").select("node", "cid", "m", F.explode(children).alias("p"))
-        split = stored(split.select("node", "cid", "m", "p.coordinate", "p.child"), "split")
-        shares = split.groupBy("node", "m", "coordinate", "child").agg(F.count("*").alias("k"))
-        agree = shares.groupBy("node").agg((F.sum(F.pow(F.col("k") / F.col("m"), F.lit(2))) / CHILDREN).alias("agree"))
-        whole = agree.filter((F.col("agree") >= DENSE) | F.lit(depth >= DEPTH)).select("node")
-        least = split.join(whole, "node", "left_semi").groupBy("node").agg(F.min("cid").alias("b"))
-        found = found.union(stored(large.join(least, "node").select(F.col("cid").alias("a"), "b").filter("a <> b"), "edges"))
-        level = split.join(whole, "node", "left_anti").select(F.col("node").alias("parent"), "coordinate", F.col("child").alias("node"), "cid")
+        split = stored(split.select("node", "cid", "m", "p.coordinate", "p.child").coalesce(parts), "split")
+        shares = split.groupBy("node", "m", "coordinate", "child").agg(F.count("*").alias("k"), F.min("cid").alias("least"))
+        agreed = F.sum(F.pow(F.col("k") / F.col("m"), F.lit(2))) / CHILDREN
+        judged = shares.coalesce(parts).groupBy("node", "m").agg(agreed.alias("agree"), F.min("least").alias("b"))
+        enough = F.when(F.col("m") <= MEDIUM, DENSE / 2).otherwise(DENSE)
+        judged = judged.select("node", "b", ((F.col("agree") >= enough) | F.lit(depth >= DEPTH)).alias("whole")).coalesce(parts)
+        split = stored(split.join(judged, "node").coalesce(parts), "split")
+        found = found.union(split.filter("whole AND cid <> b").select(F.col("cid").alias("a"), "b"))
+        level = split.filter("NOT whole").select(F.col("child").alias("node"), "cid")
 
 
 # --- exact comparison -------------------------------------------------------
