@@ -22,7 +22,9 @@ def round_cents(x: Column) -> Column:
     lead = (size * 128 - tie) + size * 64
     rest = size * -8
     up = F.when(lead > rest, 1.0).when(lead == rest, low % 2).otherwise(0.0)
-    near = F.when(size < 1e13, (low + up) / 100).otherwise(size)
+    # From 1e13 on the steps above are no longer exact; decimals are (doubles from 2**53 on are whole).
+    wide = F.bround(size.cast("decimal(38, 10)"), 2).cast("double")
+    near = F.when(size < 1e13, (low + up) / 100).when(size < 2.0**53, wide).otherwise(size)
     return F.when(x < 0, -near).otherwise(near)
 
 

@@ -9,6 +9,9 @@ from ..functions.rules import categorize_event, seat_tier
 from ..functions.times import parse_event_time, weekday_name
 
 
+PART = "message_part"
+
+
 def booking_problems() -> list[tuple[str, Column]]:
     """Reject reasons of a booking event, in the order they are tested."""
     amount = F.col("booking_metadata.total_amount")
@@ -33,6 +36,7 @@ def validate_bookings(events: DataFrame, arrival: str = "arrival_time") -> DataF
         "order_id",
         "booking_id",
         time.alias("booking_time"),
+        *([PART] if PART in events.columns else []),
         "customer.customer_id",
         F.col("customer.name").alias("customer_name"),
         F.col("customer.email").alias("customer_email"),
@@ -57,6 +61,17 @@ def validate_bookings(events: DataFrame, arrival: str = "arrival_time") -> DataF
     )
 
 
+def whole_bookings(bookings: DataFrame) -> DataFrame:
+    """One row per booking: of one that comes in several messages, only the first.
+
+    Every message carries the totals of the whole, so nothing is lost.  Events
+    without a part are whole.
+    """
+    if PART not in bookings.columns:
+        return bookings
+    return bookings.filter(F.coalesce(PART, F.lit(0)) == 0)
+
+
 def with_seats(bookings: DataFrame) -> DataFrame:
     """Drop bookings that hold no seats before rows are moved."""
     return bookings.filter(F.size("seats") > 0)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import ALERT_NONE, FAILED, SUCCESS
 from ..functions.times import days_before
+from ..operators.bookings import whole_bookings
 
 PERIOD_LABEL = "Last 7 Days"
 MOBILE, WEBSITE = "Mobile App", "Website"
@@ -164,7 +165,7 @@ def conversion_rate(bookings: DataFrame, payments: DataFrame) -> DataFrame:
     Both sides are brought to one row per order first, so neither a busy order
     nor repeated payments multiply in the join.
     """
-    attempts = bookings.groupBy("order_id").agg(F.count("*").alias("bookings"))
+    attempts = whole_bookings(bookings).groupBy("order_id").agg(F.count("*").alias("bookings"))
     paid = successful(payments).select("order_id").distinct().withColumn("paid", F.lit(True))
     return (
         attempts.join(paid, "order_id", "left")
@@ -187,7 +188,7 @@ def payment_volume(payments: DataFrame) -> DataFrame:
 
 
 def booking_volume(bookings: DataFrame) -> DataFrame:
-    return bookings.agg(F.count("*").alias("total_bookings"))
+    return whole_bookings(bookings).agg(F.count("*").alias("total_bookings"))
 
 
 def method_distribution(payments: DataFrame) -> DataFrame:

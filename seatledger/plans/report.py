@@ -85,15 +85,27 @@ def prompt_text(payload: DataFrame, template: str = PROMPT) -> DataFrame:
 
 
 def checked_outputs(outputs: DataFrame, text_col: str) -> DataFrame:
-    """Parse generated texts; ``accepted`` tells whether the required fields are there."""
-    parsed = F.from_json(text_col, "subject string, preheader string, html string")
-    return outputs.select(
-        "*",
-        parsed["subject"].alias("subject"),
-        parsed["preheader"].alias("preheader"),
-        parsed["html"].alias("html"),
-        F.coalesce(parsed["subject"].isNotNull() & parsed["html"].isNotNull(), F.lit(False)).alias("accepted"),
-    )
+    """Parse generated texts; ``accepted`` tells whether they are what was asked for.
+
+    That is one JSON object with nothing after it, whose ``subject`` and
+    ``html`` are strings and whose ``preheader`` is one or is not there.  A
+    field of another type is null in the result.
+    """
+    # In brackets, a text with anything behind its object is no JSON or has two elements.
+    parsed = F.try_parse_json(F.concat(F.lit("["), text_col, F.lit("]")))
+    rows = outputs.withColumn("_parsed", F.when(F.try_variant_get(parsed, "$[1]", "variant").isNull(), parsed))
+
+    def present(name: str) -> Column:
+        return F.try_variant_get("_parsed", f"$[0].{name}", "variant")
+
+    def is_text(name: str) -> Column:
+        return F.coalesce(F.schema_of_variant(present(name)) == "STRING", F.lit(False))
+
+    def text(name: str) -> Column:
+        return F.when(is_text(name), F.try_variant_get("_parsed", f"$[0].{name}", "string")).alias(name)
+
+    fits = is_text("subject") & is_text("html") & (present("preheader").isNull() | is_text("preheader"))
+    return rows.select(*outputs.columns, text("subject"), text("preheader"), text("html"), fits.alias("accepted"))
 
 
 def category_ranking(kpis: DataFrame) -> DataFrame:

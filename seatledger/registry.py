@@ -7,15 +7,17 @@ depend on the order of addition; times are given as text or epoch seconds.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .functions.fees import with_tax_and_fees
 from .functions.rules import categorize_event, register_sql_rules
 from .operators.audits import booking_total_audit, fee_audit_summary, with_derived_price
-from .operators.bookings import booking_problems, flatten_seats, validate_bookings
+from .operators.bookings import PART, booking_problems, flatten_seats, validate_bookings, whole_bookings
 from .operators.intervals import interval_join
 from .operators.lookups import method_conformance, section_conformance
 from .operators.payments import validate_payments
@@ -35,7 +37,6 @@ _QUERIES: dict[str, Query] = {}
 
 SECONDS = "yyyy-MM-dd HH:mm:ss"
 CLICK_WINDOW = 6 * 3600
-LANES = 8
 
 
 def query(fn: Query) -> Query:
@@ -54,8 +55,9 @@ def queries() -> dict[str, Query]:
 # --- inputs -----------------------------------------------------------------
 
 
-def fact(spark, d, **options) -> DataFrame:
-    source = Replay(spark, d)
+def fact(spark, d, days: int | None = None, **options) -> DataFrame:
+    """The fact; with ``days``, of the orders that matter to a report on so many days before ``AS_OF``."""
+    source = Replay(spark, d, AS_OF - dt.timedelta(days=days) if days else None)
     return booking_fact(source.seat_messages(), source.payments(), **options)
 
 
@@ -85,7 +87,8 @@ def validated_bookings(spark, d):
 
 @query
 def rejected_bookings(spark, d):
-    return rejected(Replay(spark, d).booking_headers(), booking_problems()).select("booking_id", REASON)
+    bookings = whole_bookings(Replay(spark, d).booking_headers())
+    return rejected(bookings, booking_problems()).select("booking_id", REASON)
 
 
 @query
@@ -191,17 +194,17 @@ def events_click_purchase(spark, d):
 
 @query
 def revenue_summary(spark, d):
-    return _summary(kpis.revenue_summary(fact(spark, d), AS_OF))
+    return _summary(kpis.revenue_summary(fact(spark, d, 30), AS_OF))
 
 
 @query
 def weekly_kpis(spark, d):
-    return _weekly(kpis.weekly_kpis(fact(spark, d), AS_OF))
+    return _weekly(kpis.weekly_kpis(fact(spark, d, 7), AS_OF))
 
 
 @query
 def weekly_kpis_payment_grain(spark, d):
-    recent = kpis.last_days(fact(spark, d), 7, AS_OF)
+    recent = kpis.last_days(fact(spark, d, 7), 7, AS_OF)
     return _weekly(kpis.weekly_kpis(payment_grain(recent, kpis.WEEKLY_INPUTS), AS_OF))
 
 
@@ -209,21 +212,43 @@ def weekly_kpis_payment_grain(spark, d):
 def stored_fact_weekly_kpis(spark, d):
     """The fact written by day, then the report on the days it needs."""
     path = workspace(spark, "fact")
-    tables.write_fact(fact(spark, d), path)
+    tables.write_checked(fact(spark, d), path)
     return _weekly(kpis.weekly_kpis(tables.read_fact(spark, path), AS_OF))
 
 
+@query
+def stored_fact_rejects(spark, d):
+    """What the write kept out of the stored fact."""
+    path = workspace(spark, "fact")
+    tables.write_checked(fact(spark, d), path)
+    return tables.read_rejects(spark, path).groupBy(REASON).agg(F.count("*").alias("n"))
+
+
+@query
+def fact_table_lifecycle(spark, d):
+    """Create, append and read the catalog table and its view; the summary comes from the view."""
+    home = workspace(spark, "lifecycle")
+    name = "lifecycle_" + home.rsplit("-", 1)[-1]
+    tables.create_database(spark)
+    table, view = f"{tables.DATABASE}.{name}", f"{tables.DATABASE}.v_{name}"
+    tables.recreate_fact_table(spark, table, home)
+    good, _ = split_required(fact(spark, d, 30))
+    tables.append_fact(good, table)
+    tables.create_revenue_view(spark, view, table, AS_OF)
+    return _summary(tables.run_sql(spark, f"SELECT * FROM {view}"))
+
+
 @query
 def revenue_view(spark, d):
     """The revenue summary as a SQL view."""
-    fact(spark, d).createOrReplaceTempView("seat_fact")
+    fact(spark, d, 30).createOrReplaceTempView("seat_fact")
     tables.create_revenue_view(spark, "v_revenue_summary", "seat_fact", AS_OF, temporary=True)
     return _summary(tables.run_sql(spark, "SELECT * FROM v_revenue_summary"))
 
 
 @query
 def top_city(spark, d):
-    return rounded(kpis.top_city(kpis.last_days(fact(spark, d), 7, AS_OF)), revenue=2)
+    return rounded(kpis.top_city(kpis.last_days(fact(spark, d, 7), 7, AS_OF)), revenue=2)
 
 
 @query
@@ -342,7 +367,7 @@ def revenue_trend(spark, d):
 @query
 def period_growth(spark, d):
     return rounded(
-        trends.period_growth(fact(spark, d), AS_OF), current_revenue=2, previous_revenue=2, growth_pct=4
+        trends.period_growth(fact(spark, d, 14), AS_OF), current_revenue=2, previous_revenue=2, growth_pct=4
     )
 
 
@@ -351,7 +376,7 @@ def period_growth(spark, d):
 
 @query
 def fee_breakdown(spark, d):
-    fees = with_tax_and_fees(valid_bookings(spark, d), "booking_amount")
+    fees = with_tax_and_fees(whole_bookings(valid_bookings(spark, d)), "booking_amount")
     return fees.select(
         "booking_id",
         "base_amount",
@@ -406,7 +431,7 @@ def report_metrics_long(spark, d):
 
 @query
 def category_ranking(spark, d):
-    return rounded(report.category_ranking(kpis.weekly_kpis(fact(spark, d), AS_OF)), revenue=2)
+    return rounded(report.category_ranking(kpis.weekly_kpis(fact(spark, d, 7), AS_OF)), revenue=2)
 
 
 @query
@@ -416,15 +441,26 @@ def prompt_text(spark, d):
 
 @query
 def checked_outputs(spark, d):
-    """Generated texts of four kinds, one per order: whole, without html, without subject, cut off."""
+    """Generated texts of eight kinds, one per order.
+
+    Whole, without html, without subject, cut off; whole but with a number for a
+    subject, an object for html, a number for a preheader, more text behind.
+    """
     k = F.col("o_orderkey")
-    subject = F.when(k % 4 != 2, F.concat(F.lit("Order "), k.cast("string"))).alias("subject")
-    html = F.when(k % 4 != 1, F.concat(F.lit("<p>"), "o_orderstatus", F.lit("</p>"))).alias("html")
-    preheader = F.when(k % 4 == 0, F.col("o_orderpriority")).alias("preheader")
-    text = F.to_json(F.struct(subject, preheader, html))
-    texts = replay.table(spark, d, "orders").select(
-        "o_orderkey", F.when(k % 4 == 3, F.concat(F.lit("{"), text)).otherwise(text).alias("text")
+    kind = k % 8
+    subject = F.when(kind != 2, F.concat(F.lit("Order "), k.cast("string"))).alias("subject")
+    html = F.when(kind != 1, F.concat(F.lit("<p>"), "o_orderstatus", F.lit("</p>"))).alias("html")
+    preheader = F.when(kind == 0, F.col("o_orderpriority")).alias("preheader")
+    whole = F.to_json(F.struct(subject, preheader, html))
+    text = (
+        F.when(kind == 3, F.concat(F.lit("{"), whole))
+        .when(kind == 4, F.to_json(F.struct(k.alias("subject"), html)))
+        .when(kind == 5, F.to_json(F.struct(subject, F.struct(k.alias("x")).alias("html"))))
+        .when(kind == 6, F.to_json(F.struct(subject, k.alias("preheader"), html)))
+        .when(kind == 7, F.concat(whole, F.lit(" and more")))
+        .otherwise(whole)
     )
+    texts = replay.table(spark, d, "orders").select("o_orderkey", text.alias("text"))
     return report.checked_outputs(texts, "text").drop("text")
 
 
@@ -446,6 +482,17 @@ def stream_sliding_revenue(spark, d):
     return _stream_windows(spark, d, "5 minutes")
 
 
+@query
+def stream_windows_after_join(spark, d):
+    """Join and tumbling windows of payment arrival in one streaming query, over several batches."""
+    return _windows_after_join(spark, d, None)
+
+
+@query
+def stream_sliding_after_join(spark, d):
+    return _windows_after_join(spark, d, "5 minutes")
+
+
 @query
 def stream_running_success(spark, d):
     path = workspace(spark, "running-success")
@@ -459,7 +506,7 @@ def stream_rejected_bookings(spark, d):
     """The dead letters of the booking stream."""
     path = workspace(spark, "rejected-bookings")
     bookings = stream_replay.booking_feed(Replay(spark, d).booking_headers(), f"{path}/bookings")
-    bad = rejected(bookings, booking_problems())
+    bad = rejected(whole_bookings(bookings), booking_problems())
     sinks.run_to_end(sinks.append_stream(bad, f"{path}/data", f"{path}/checkpoint"))
     return spark.read.parquet(f"{path}/data").select("booking_id", REASON)
 
@@ -476,33 +523,44 @@ def stream_events_click_purchase(spark, d):
 
 
 def _stream_fact(spark, d) -> DataFrame:
-    return spark.read.parquet(_stream_fact_path(spark, d))
+    return tables.read_fact(spark, _stream_fact_path(spark, d))
 
 
 def _stream_fact_path(spark, d) -> str:
     """Events as stored JSON records, joined as streams into a stored fact table.
 
-    Run-time skew handling is off on streams, so busy orders are split in lanes.
+    The feeds come in slices of arrival time, a batch each, so that the
+    watermark moves and the join state stays a part of the input.
     """
     path = workspace(spark, "stream-fact")
-    source = Replay(spark, d)
-    bookings = stream_replay.booking_feed(source.nested_bookings(), f"{path}/bookings")
-    payments = stream_replay.payment_feed(source.payments(), f"{path}/payments")
-    rows = jobs.streaming_fact(bookings, payments, spread=LANES)
-    sinks.run_to_end(sinks.append_stream(rows, f"{path}/fact", f"{path}/checkpoint"))
+    rows = tables.tagged(jobs.streaming_fact(*_feeds(spark, d, path)))
+    sinks.run_to_end(sinks.append_stream(rows, f"{path}/fact", f"{path}/checkpoint", partition_by=[REASON]))
     return f"{path}/fact"
 
 
+def _feeds(spark, d, path) -> tuple[DataFrame, DataFrame]:
+    source = Replay(spark, d)
+    return stream_replay.sliced_feeds(source.nested_bookings(), source.payments(), path)
+
+
 def _stream_windows(spark, d, slide) -> DataFrame:
     """The stored fact as a stream, summed per window; the newest state of each window counts."""
     path = workspace(spark, "stream-windows")
     stored = _stream_fact_path(spark, d)
-    rows = spark.readStream.schema(FACT_SCHEMA).parquet(stored)
+    layout = T.StructType([*FACT_SCHEMA.fields, T.StructField(REASON, T.StringType())])
+    rows = spark.readStream.schema(layout).parquet(stored).filter(F.col(REASON) == tables.FIT)
     windows = trends.windowed_revenue(rows.withWatermark("booking_time", "1 minute"), "10 minutes", slide)
     sinks.run_to_end(sinks.change_stream(windows, f"{path}/windows", f"{path}/checkpoint"))
     return _window_epochs(sinks.latest(spark, f"{path}/windows", ["window_start", "window_end"]))
 
 
+def _windows_after_join(spark, d, slide) -> DataFrame:
+    path = workspace(spark, "windows-after-join")
+    windows = jobs.windowed_after_join(*_feeds(spark, d, path), slide=slide)
+    sinks.run_to_end(sinks.append_stream(windows, f"{path}/windows", f"{path}/checkpoint"))
+    return _window_epochs(spark.read.parquet(f"{path}/windows"))
+
+
 def _click_purchase(rows: DataFrame) -> DataFrame:
     clicks = rows.filter(F.col("event_type") == "click").select(
         "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_time")
@@ -525,7 +583,7 @@ def _click_purchase(rows: DataFrame) -> DataFrame:
 
 def _booking_text(bookings: DataFrame) -> DataFrame:
     return bookings.select(
-        *[c for c in bookings.columns if c not in ("seats", "booking_time", "booking_enqueued_time", "event_rating")],
+        *[c for c in bookings.columns if c not in ("seats", "booking_time", "booking_enqueued_time", "event_rating", PART)],
         F.date_format("booking_time", SECONDS).alias("booking_time"),
         F.round("event_rating", 1).alias("event_rating"),
         F.unix_seconds("booking_enqueued_time").alias("arrival_epoch"),
@@ -593,4 +651,4 @@ def _window_epochs(rows: DataFrame) -> DataFrame:
 
 
 def _payload(spark, d) -> DataFrame:
-    return report.report_payload(kpis.weekly_kpis(fact(spark, d), AS_OF), AS_OF)
+    return report.report_payload(kpis.weekly_kpis(fact(spark, d, 7), AS_OF), AS_OF)

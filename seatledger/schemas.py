@@ -17,6 +17,8 @@ BOOKING_SCHEMA = T.StructType(
         T.StructField("order_id", T.StringType()),
         T.StructField("booking_id", T.StringType()),
         T.StructField("booking_time", T.StringType()),
+        # Big bookings come as several messages, each with the totals of the whole.
+        T.StructField("message_part", T.IntegerType()),
         T.StructField(
             "customer",
             T.StructType(

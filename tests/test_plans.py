@@ -11,7 +11,7 @@ from seatledger.registry import queries
 from seatledger.schemas import FACT_SCHEMA
 
 AS_OF = dt.datetime(2001, 8, 1)
-STREAMS = {n for n in queries() if n.startswith("stream_")} | {"stored_fact_weekly_kpis"}
+STREAMS = {n for n in queries() if n.startswith("stream_")} | {"stored_fact_weekly_kpis", "stored_fact_rejects", "fact_table_lifecycle"}
 
 
 def plan(df) -> str:
@@ -38,6 +38,21 @@ def test_narrow_scan(spark, sf):
     assert "o_orderpriority" not in text and "l_returnflag" not in text and "o_custkey" not in text
 
 
+@pytest.mark.parametrize("name", ["revenue_summary", "weekly_kpis", "top_city", "period_growth", "revenue_view", "prompt_text"])
+def test_dated_reports_bound_the_scan(spark, sf, name):
+    scans = [x for x in plan(queries()[name](spark, sf)).splitlines() if "FileScan" in x and "o_orderdate" in x]
+    assert scans and all("GreaterThanOrEqual(o_orderdate" in x for x in scans)
+
+
+@pytest.mark.parametrize(
+    "name",
+    "payment_type payment_volume failure_reasons method_performance gateway_sla method_conformance_report"
+    " method_distribution event_category".split(),
+)
+def test_no_line_items_where_no_amount_is_read(spark, sf, name):
+    assert "lineitem" not in plan(queries()[name](spark, sf))
+
+
 def test_weekly_over_nothing_is_one_row(spark):
     row = kpis.weekly_kpis(rows(spark), AS_OF).first()
     assert row.period == "Last 7 Days" and row.total_transactions == 0 and row.unique_customers == 0

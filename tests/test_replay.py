@@ -4,6 +4,12 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from seatledger.functions.fees import with_tax_and_fees
+from seatledger.operators.audits import booking_total_audit
+from seatledger.operators.bookings import booking_problems, whole_bookings
+from seatledger.operators.payments import validate_payments
+from seatledger.operators.quality import REASON, rejected
+from seatledger.plans import kpis
 from seatledger.operators.bookings import flatten_seats, validate_bookings
 from seatledger.plans.fact import booking_fact
 from seatledger.registry import _fact_text, _seat_columns, queries
@@ -39,6 +45,21 @@ def test_nested_bookings_hold_all_seats(spark, skewed, max_seats):
     assert same(_seat_columns(flatten_seats(validate_bookings(nested))), flat)
 
 
+@pytest.mark.parametrize("max_seats", [1, 2])
+def test_booking_reports_do_not_depend_on_the_message_size(spark, sf, max_seats):
+    source = Replay(spark, sf)
+    one, many = source.nested_bookings(), source.nested_bookings(max_seats)
+    assert many.count() > one.count()
+    for report in (
+        lambda b: kpis.booking_volume(validate_bookings(b)),
+        lambda b: kpis.conversion_rate(validate_bookings(b), validate_payments(source.payments())),
+        lambda b: rejected(whole_bookings(b), booking_problems()).select("booking_id", REASON),
+        lambda b: with_tax_and_fees(whole_bookings(validate_bookings(b)), "booking_amount").drop("seats"),
+        lambda b: booking_total_audit(b),
+    ):
+        assert same(report(one), report(many))
+
+
 def test_arrays_are_bounded(spark, skewed):
     sizes = Replay(spark, skewed).nested_bookings(50).select(
         "booking_id", F.size("event_details.seats").alias("n"), F.col("event_details.total_seats").alias("all")

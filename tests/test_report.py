@@ -84,6 +84,10 @@ def test_checked_outputs(spark):
         ('{"html": "<p>", "subject": null}', False),
         ("```json", False),
         (None, False),
+        ('{"subject": 5, "html": {"x": 1}}', False),
+        ('{"subject": "a", "html": "b", "preheader": 7}', False),
+        ('{"subject": "a", "html": "b"} and more', False),
+        ('{"subject": "a", "html": "b"}, {}', False),
     ]
     df = spark.createDataFrame(texts, "text string, expected boolean")
     for row in report.checked_outputs(df, "text").collect():

@@ -14,6 +14,7 @@ from seatledger.sources.events import decode_bookings, decode_payments, encode_e
 from seatledger.sources.replay import Replay
 from seatledger.sources.workspace import workspace
 from seatledger.streaming import jobs, sinks
+from seatledger.streaming.replay import sliced_feeds
 
 
 def same(a, b):
@@ -56,6 +57,33 @@ def test_stream_equals_batch_in_one_go(spark, feeds, options):
     assert got.count() > 100 and same(_fact_text(got), _fact_text(expected))
 
 
+def test_sliced_feeds_keep_the_state_small(spark, sf):
+    """One-minute watermark, several batches: nothing is lost and the state is a part of the input."""
+    path, source = workspace(spark, "sliced"), Replay(spark, sf)
+    rows = jobs.streaming_fact(*sliced_feeds(source.nested_bookings(), source.payments(), path))
+    query = sinks.append_stream(rows, f"{path}/data", f"{path}/checkpoint")
+    sinks.run_to_end(query)
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert len(state) >= 5 and sinks.late_rows(query) == 0
+    assert max(state) < 0.5 * (source.booking_headers().count() + source.payments().count())
+    got, expected = spark.read.parquet(f"{path}/data"), booking_fact(source.nested_bookings(), source.payments())
+    assert same(_fact_text(got), _fact_text(expected))
+
+
+def test_rows_behind_the_watermark_are_counted(spark, sf):
+    """An early booking that comes with the last slice is late, whatever else comes in time."""
+    path, source = workspace(spark, "late"), Replay(spark, sf)
+    bookings, payments = sliced_feeds(source.nested_bookings(), source.payments(), path, slices=3)
+    early = encode_events(source.nested_bookings().orderBy("arrival_time").limit(20), BOOKING_SCHEMA)
+    early.coalesce(1).write.mode("append").parquet(f"{path}/bookings")
+    spark.createDataFrame([], early.schema).coalesce(1).write.mode("append").parquet(f"{path}/payments")
+    query = sinks.append_stream(jobs.streaming_fact(bookings, payments), f"{path}/data", f"{path}/checkpoint")
+    sinks.run_to_end(query)
+    assert sinks.late_rows(query) > 0
+    expected = booking_fact(source.nested_bookings(), source.payments())
+    assert same(_fact_text(spark.read.parquet(f"{path}/data")), _fact_text(expected))
+
+
 def test_stream_equals_batch_file_by_file(spark, feeds):
     """Many batches with a wide enough watermark: nothing is lost, wherever a pair is split."""
     path = workspace(spark, "fact")

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from seatledger.operators.quality import split_required
+from seatledger.operators.quality import REASON, split_required
 from seatledger.plans import kpis
 from seatledger.registry import fact, queries
 from seatledger.schemas import FACT_COLUMNS
@@ -69,9 +69,19 @@ def test_sql_with_values(spark, stored):
 def test_checked_write(spark, sf):
     path = workspace(spark, "checked")
     rows = fact(spark, sf)
-    tables.write_checked(rows, f"{path}/good", f"{path}/bad")
-    good, bad = tables.read_fact(spark, f"{path}/good").count(), spark.read.parquet(f"{path}/bad").count()
-    assert bad > 0 and good + bad == rows.count()
+    tables.write_checked(rows, path)
+    good, bad = tables.read_fact(spark, path), tables.read_rejects(spark, path)
+    assert bad.count() > 0 and good.count() + bad.count() == rows.count()
+    assert good.filter("event_id IS NULL").count() == 0 and REASON not in good.columns
+
+
+def test_writes_refuse_rows_without_a_required_value(spark, sf, stored):
+    rows = fact(spark, sf)
+    assert rows.filter("event_id IS NULL").count() > 0
+    with pytest.raises(Exception, match="event_id must not be null"):
+        tables.write_fact(rows, workspace(spark, "refused"))
+    with pytest.raises(Exception, match="event_id must not be null"):
+        tables.append_fact(rows)
 
 
 def test_names_are_checked():
