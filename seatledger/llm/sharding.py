@@ -42,6 +42,8 @@ def _longest_walk(spark, n: int, a: int, b: int, key: int) -> int:
     A walk leaves 0..n-1 only through the a*b-n < a numbers above, so the walks
     of those numbers bound all others: about the square root of ``n`` rows.
     """
+    if n == 0:
+        return 1
     steps, out = 1, spark.range(n, a * b).select(F.col("id").alias("p"))
     while out.limit(1).count():
         steps += 1
