@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices
 from .words import mix
 
-BUCKETS, DIMS = 1 << 17, 8
+BUCKETS, DIMS = 1 << 19, 8
 #: Lengths of n-grams, word marks included.
 GRAMS = (3, 4, 5)
 #: Bound of the training sample; its documents are chosen by a hash of their id.
