@@ -131,6 +131,7 @@ def test_stages_on_messy_and_empty_tables(spark, sf, messy, nothing):
         docs = docs.withColumn("lang", docs.source).withColumn("n_chars", docs.length.cast("long"))
         for name, stage in corpus_pipeline.STAGES[1:]:
             out = stage(spark, docs, sf)
-            assert out.count() <= max(docs.count(), 0) + 60, name
-            if name != "packing":
-                assert out.columns == docs.columns
+            if name == "packing":  # the long texts are many pieces
+                assert out.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+            else:
+                assert out.count() <= docs.count() and out.columns == docs.columns, name
