@@ -7,9 +7,11 @@ A randomised singular value decomposition of the matrix of all passages gives a
 latent space (over disjoint passages): each task multiplies its passages with one random matrix and back,
 the small products are added up, and a Nystroem step on the sums yields the
 directions.  Passages and items whose projections have a cosine of ``COSINE`` or
-more are candidates.  A candidate is checked in the text itself: the longest
-common subsequence of words must cover most of the item, and of its answer, the
-item's last sentence.
+more are candidates.  So is each place where a run of ``RUN`` words of an item
+stands, whatever its words weigh: an item that is copied so often that its own
+words are frequent is found like any other.  A candidate is checked in the text
+itself: the longest common subsequence of words must cover most of the item, and
+of its answer, the item's last sentence.
 
 The text is read once: what stays of it are the places of the benchmark's words,
 which the three steps (counts, products, search) read from the shared folder.
@@ -30,19 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, stored
-from .words import word_hashes
+from .words import mix, word_hashes
 
 #: Words of a passage and from one passage to the next.
 PASSAGE, STRIDE = 48, 24
 RANK = 128
-#: Words in more than this share of all passages weigh nothing.
-COMMON = 0.01
 #: A candidate's cosine in latent space, and the share of the item's TF-IDF vector that the passage must hold.
 COSINE, PART = 0.25, 0.15
 #: Share of an item's words, and of its answer's, that the common subsequence covers.
 COVER, ANSWER = 0.6, 0.5
 #: Items with fewer words are not looked for: any text may hold them.
 MIN_WORDS = 5
+#: Equal words in a row that make a candidate; no item is shorter.
+RUN = MIN_WORDS
 #: Items of one search; a larger benchmark is searched in blocks.
 BLOCK = 5000
 
@@ -105,15 +107,11 @@ class Hits:
         sizes = [n // 4 for n in pc.binary_length(batch.column("place")).to_pylist()]
         return cls(np.array(batch.column("words").to_pylist(), np.int64), np.repeat(np.arange(len(sizes)), sizes), place, term)
 
-    def vectors(self, terms: np.ndarray, count: int, stride: int):
-        """(passage, term, count) sorted, passages numbered through, and each text's first passage.
-
-        ``terms`` gives the term a hit counts as, below ``count``, or -1.
-        """
+    def vectors(self, count: int, stride: int):
+        """(passage, term, count) sorted, passages numbered through, and each text's first passage; terms are below ``count``."""
         many = _passages(self.lengths, stride)
         offsets = np.concatenate([[0], np.cumsum(many)])
-        keep = terms[self.term] >= 0
-        text, place, term = self.text[keep], self.place[keep], terms[self.term[keep]]
+        text, place, term = self.text, self.place, self.term
         # A word lies in the passages that begin up to PASSAGE - 1 words before it.
         first = np.maximum(-(-(place - PASSAGE + 1) // stride), 0)
         reps = np.minimum(place // stride, many[text] - 1) - first + 1
@@ -121,6 +119,17 @@ class Hits:
         key, counts = np.unique(passage * count + np.repeat(term, reps), return_counts=True)
         return key // count, key % count, counts, offsets
 
+    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Runs of ``RUN`` words in a row, as hashes, and the hit each begins with."""
+        ends = np.arange(RUN - 1, len(self.term))
+        first = ends - RUN + 1
+        whole = (self.text[ends] == self.text[first]) & (self.place[ends] - self.place[first] == RUN - 1)
+        first = first[whole]
+        run = np.zeros(len(first), np.uint64)
+        for k in range(RUN):
+            run = mix(run * np.uint64(3) + self.term[first + k].astype(np.uint64) + np.uint64(1))
+        return run, first
+
 
 _HITS = "doc_id long, text_hash long, words int, place binary, term binary"
 
@@ -148,9 +157,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, H
 
 def _counted(count: int):
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, passages, all_terms = np.zeros(count, np.int64), 0, np.arange(count)
+        seen, passages = np.zeros(count, np.int64), 0
         for _, hits in _read(batches):
-            _, term, _, offsets = hits.vectors(all_terms, count, PASSAGE)
+            _, term, _, offsets = hits.vectors(count, PASSAGE)
             seen += np.bincount(term, minlength=count)
             passages += int(offsets[-1])
         used = np.flatnonzero(seen)
@@ -161,7 +170,7 @@ def _counted(count: int):
 
 
 def term_weights(hits: DataFrame, count: int) -> np.ndarray:
-    """Inverse passage frequencies over all passages; 0 for common words."""
+    """Inverse passage frequencies over all passages; at least log 2, so that no word is without weight."""
     sums = map_arrow(hits.select("words", "place", "term"), _counted(count), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     seen, total = np.zeros(count), 0
     for r in sums.collect():  # a row per benchmark word
@@ -169,15 +178,7 @@ def term_weights(hits: DataFrame, count: int) -> np.ndarray:
             total = r["n"]
         else:
             seen[r["term"]] = r["n"]
-    weights = np.log((1 + total) / (1 + seen))
-    weights[seen > max(COMMON * total, 10)] = 0
-    return weights
-
-
-def _kept(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """New numbers of the terms with a weight (others -1), and their weights."""
-    keep = weights > 0
-    return np.where(keep, np.cumsum(keep) - 1, -1), weights[keep]
+    return np.log1p((1 + total) / (1 + seen))
 
 
 def _rows(passage: np.ndarray, term: np.ndarray, counts: np.ndarray, weights: np.ndarray):
@@ -191,13 +192,11 @@ def _rows(passage: np.ndarray, term: np.ndarray, counts: np.ndarray, weights: np
 
 
 def _multiplied(weights: np.ndarray, seed: int, rank: int):
-    terms, weights = _kept(weights)
-
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         random = np.random.default_rng(seed).standard_normal((len(weights), rank)).astype("f4")
         total = np.zeros((len(weights), rank), "f4")
         for _, hits in _read(batches):
-            _, begin, term, values, _ = _rows(*hits.vectors(terms, len(weights), PASSAGE)[:3], weights)
+            _, begin, term, values, _ = _rows(*hits.vectors(len(weights), PASSAGE)[:3], weights)
             if not len(begin):
                 continue
             values = values.astype("f4")[:, None]
@@ -242,23 +241,22 @@ def _nystroem(product: np.ndarray, random: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def latent_directions(hits: DataFrame, items: Items, weights: np.ndarray, rank: int = RANK, seed: int = 11) -> np.ndarray:
-    """Leading right singular vectors of all passages: terms with a weight by at most ``rank``.
+    """Leading right singular vectors of all passages: terms by at most ``rank``.
 
     With the passages' matrix A and a random matrix R, one pass sums A'(A R).
     The eigenvectors of A'A then follow from these products and R alone.  The
     benchmark's own passages are rows of A too, each as heavy as the corpus'
     strongest direction, so that the space holds what is searched for.
     """
-    terms, kept = _kept(weights)
-    rank = min(rank, len(kept))
+    rank = min(rank, len(weights))
     partial = map_arrow(hits.select("words", "place", "term"), _multiplied(weights, seed, rank), "term long, row binary")
     sums = map_arrow(partial.repartition(16, "term"), _added(rank), "term long, row binary")
-    product = np.zeros((len(kept), rank))
+    product = np.zeros((len(weights), rank))
     for r in sums.toLocalIterator():  # a row per benchmark word
         product[r["term"]] = np.frombuffer(bytes(r["row"]), "<f4")
-    random = np.random.default_rng(seed).standard_normal((len(kept), rank)).astype("f4").astype("f8")
+    random = np.random.default_rng(seed).standard_normal((len(weights), rank)).astype("f4").astype("f8")
     heaviest = _nystroem(product, random)[1].max(initial=0.0) or 1.0
-    _, begin, term, values, _ = _rows(*Hits.of(items.words, items.terms).vectors(terms, len(kept), STRIDE)[:3], kept)
+    _, begin, term, values, _ = _rows(*Hits.of(items.words, items.terms).vectors(len(weights), STRIDE)[:3], weights)
     if len(begin):
         rows = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(term))))
         inner = np.add.reduceat(random[term] * values[:, None], begin)
@@ -288,12 +286,11 @@ def _searched(items: Items, weights: np.ndarray, directions: np.ndarray, cosine:
     names = ["doc_id", "text_hash", "item_id", "word", "cosine", "covered", "answer_covered"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
     directions = directions.astype("f4")
-    terms, weights = _kept(weights)
     count = len(weights)
 
     def project(hits: Hits):
-        """Passages with a weight, their first entries, terms, raw values, unit latent rows; first passages of the texts."""
-        passage, term, counts, offsets = hits.vectors(terms, count, STRIDE)
+        """Passages with words, their first entries, terms, raw values, unit latent rows; first passages of the texts."""
+        passage, term, counts, offsets = hits.vectors(count, STRIDE)
         rows, begin, term, values, norms = _rows(passage, term, counts, weights)
         if not len(begin):
             return rows, begin, term, values, np.empty((0, directions.shape[1]), "f4"), offsets
@@ -311,6 +308,22 @@ def _searched(items: Items, weights: np.ndarray, directions: np.ndarray, cosine:
     q_key = np.repeat(np.arange(len(query)), np.diff(np.append(q_begin, len(q_term)))) * count + q_term
     q_square = np.add.reduceat(q_raw * q_raw, q_begin) if len(query) else q_raw
 
+    # The items' runs, sorted, with the item of each and its place there.
+    runs, first_of_run = asked.runs()
+    order = np.argsort(runs, kind="stable")
+    runs, run_item, run_place = runs[order], asked.text[first_of_run[order]], asked.place[first_of_run[order]]
+
+    def shared(hits: Hits) -> Iterator[tuple[int, int, int]]:
+        """Text, item and start of the stretch to compare, on the grid of the passages, wherever a run of an item stands."""
+        found, hit = hits.runs()
+        lo, hi = np.searchsorted(runs, found), np.searchsorted(runs, found, side="right")
+        sizes = hi - lo
+        hit = np.repeat(hit, sizes)
+        at = np.repeat(lo - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        begin = np.maximum((hits.place[hit] - run_place[at]) // STRIDE * STRIDE - PASSAGE, 0)
+        if len(at):
+            yield from map(tuple, np.unique(np.stack([hits.text[hit], run_item[at], begin], 1), axis=0).tolist())
+
     def held(p: np.ndarray, q: np.ndarray, begin: np.ndarray, term: np.ndarray, raw: np.ndarray) -> np.ndarray:
         """The share of each item passage's vector that is in the document's passage."""
         sizes = np.diff(np.append(begin, len(term)))[p]
@@ -327,6 +340,19 @@ def _searched(items: Items, weights: np.ndarray, directions: np.ndarray, cosine:
         begin = (passage - offsets[text]) * STRIDE
         first_hit = np.searchsorted(hits.text, np.arange(len(hits.lengths) + 1))
         seen, best = set(), {}
+
+        def compare(t: int, k: int, at: int, close: float | None) -> None:
+            if (t, k, at) in seen:
+                return
+            seen.add((t, k, at))
+            size, (a, b) = len(items.words[k]), first_hit[t : t + 2]
+            a, b = a + np.searchsorted(hits.place[a:b], [at, at + size + 2 * PASSAGE])
+            found = common_subsequence(bits[k], size, hits.term[a:b].tolist())
+            covered = found.bit_count() / size
+            told = (found >> items.answers[k]).bit_count() / max(size - items.answers[k], 1)
+            if covered >= cover and told >= answer and covered > best.get((t, k), (0.0,))[0]:
+                best[t, k] = (covered, told, at, close)
+
         for lo in range(0, len(passage), 512):
             near = latent[lo : lo + 512] @ queries.T
             p, q = np.nonzero(near >= cosine)
@@ -335,18 +361,10 @@ def _searched(items: Items, weights: np.ndarray, directions: np.ndarray, cosine:
             close = near[p, q]
             enough = held(p + lo, q, entries, term, raw) >= PART
             for p_, q_, close_ in zip((p[enough] + lo).tolist(), q[enough].tolist(), close[enough].tolist()):
-                t, k = int(text[p_]), int(owner[q_])
-                at = max(int(begin[p_] - start[q_]) - PASSAGE, 0)
-                if (t, k, at) in seen:
-                    continue
-                seen.add((t, k, at))
-                size, (a, b) = len(items.words[k]), first_hit[t : t + 2]
-                a, b = a + np.searchsorted(hits.place[a:b], [at, at + size + 2 * PASSAGE])
-                found = common_subsequence(bits[k], size, hits.term[a:b].tolist())
-                covered = found.bit_count() / size
-                told = (found >> items.answers[k]).bit_count() / max(size - items.answers[k], 1)
-                if covered >= cover and told >= answer and covered > best.get((t, k), (0.0,))[0]:
-                    best[t, k] = (covered, told, at, close_)
+                compare(int(text[p_]), int(owner[q_]), max(int(begin[p_] - start[q_]) - PASSAGE, 0), close_)
+        for t, k, at in shared(hits):
+            if best.get((t, k), (0.0,))[0] < 1:  # nothing covers more than all of the item
+                compare(t, k, at, None)
         for (t, k), (covered, told, at, close) in best.items():
             yield t, items.ids[k], at, close, covered, told
 
@@ -367,7 +385,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, cover:
     """A row per document and benchmark item found in it.
 
     ``word`` is where the compared stretch of the document begins, ``cosine``
-    that of the passage in latent space, ``covered`` and ``answer_covered`` the
+    that of the passage in latent space (null where a run of equal words led to
+    the place), ``covered`` and ``answer_covered`` the
     shares of the item's and its answer's words in the common subsequence.
     Null texts and items hold nothing; items of fewer than ``MIN_WORDS`` words
     are not looked for; rows without ``item_id`` are left out.  Equal items are
@@ -386,9 +405,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, cover:
             continue
         hits = stored(map_arrow(texts, _found(block.terms), _HITS), "benchmark-words")
         weights = term_weights(hits, len(block.terms))
-        if (weights > 0).any():
-            directions = latent_directions(hits, block, weights)
-            found = found.union(map_arrow(hits, _searched(block, weights, directions, cosine, cover, answer), _LEAK))
+        directions = latent_directions(hits, block, weights)
+        found = found.union(map_arrow(hits, _searched(block, weights, directions, cosine, cover, answer), _LEAK))
     return found
 
 

@@ -153,6 +153,24 @@ def test_common_subsequence_is_longest():
         assert bits.bit_count() == table[-1, -1]
 
 
+def test_items_copied_into_many_documents_are_found(spark):
+    """Copies of one item in most documents make all its words frequent; an item of frequent words alone likewise."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(400)]
+    often = " ".join(f"copied{i}" for i in range(30)) + ". its answer is seven."
+    plain = "red red green blue red green. blue green red red blue."
+    rows = []
+    for i in range(300):
+        host = [rng.choice(vocabulary) for _ in range(80)] + rng.sample(["red", "green", "blue"], 3)
+        at = rng.randrange(80)
+        rows.append((i, " ".join([*host[:at], *([often] if i % 3 else []), *([plain] if i % 10 == 0 else []), *host[at:]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, often), (2, plain), (3, " ".join(vocabulary[:40]))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, bench).collect()}
+    assert {(i, 1) for i in range(300) if i % 3} <= got and {(i, 2) for i in range(0, 300, 10)} <= got
+    assert not {(i, 1) for i in range(0, 300, 3)} & got and not any(k == 3 for _, k in got)
+
+
 def test_messy_leaks(spark, messy, nothing):
     bench = spark.createDataFrame(
         [(1, "one two three four five six seven."), (2, None), (None, "x y z x y z"), (3, ""), (4, "a b")], "item_id long, text string"
