@@ -57,6 +57,26 @@ def test_template_that_looks_far_back_is_caught():
         list(chat.formatted_blocks(far, ((("user", f"t{i}") for i in range(200)))))
 
 
+@pytest.mark.parametrize("n", [64, 65, 130])
+def test_real_prefixes_at_every_length(spark, n):
+    def far(t):
+        return "".join(f"[{r}|{t[i - 4][1] if i >= 4 else ''}]{x}\n" for i, (r, x) in enumerate(t))
+
+    def numbered(t):
+        return "".join(f"Round {i} [{r}]{x}\n" for i, (r, x) in enumerate(t))
+
+    def drops_old(t):
+        return "".join(f"[{r}]{x}\n" for r, x in t[-20:])
+
+    said = [(["user", "assistant"][i % 2], f"text {i}") for i in range(n)]
+    df = spark.createDataFrame([(1, i, *turn) for i, turn in enumerate(said)], "conv_id long, turn long, role string, text string")
+    for template in (far, numbered):
+        blocks = chat.formatted(df, template).orderBy("block").collect()
+        assert not any(b.rewrites for b in blocks) and "".join(b.formatted for b in blocks) == template(said)
+        assert [b.formatted[s:e] for b in blocks for s, e in b.loss] == [text for role, text in said if role == "assistant"]
+    assert [b.rewrites for b in chat.formatted(df, drops_old).collect()] == [True]
+
+
 def test_conversations_with_nulls_ties_and_a_hot_one(spark):
     rows = [(1, 0, "user", None), (1, 1, "assistant", "x"), (1, 1, "assistant", "x"), (1, 1, "assistant", "b")]
     rows += [(None, 0, None, "q"), (2, None, "user", "n"), (2, 0, "assistant", "")]
