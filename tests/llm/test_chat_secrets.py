@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
@@ -115,6 +116,39 @@ def test_decoded_layers(hidden):
     assert found and all(9 <= s < e <= 9 + len(hidden) for s, e in found)
 
 
+def wrapped(raw, width, end):
+    said = base64.b64encode(raw).decode()
+    return end.join(said[i : i + width] for i in range(0, len(said), width))
+
+
+NOISE = "".join(random.Random(2).choices("abcdefghij klmnop", k=400))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", "\n\t"])
+@pytest.mark.parametrize("width", [12, 62, 64, 76])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, bz2.compress, lzma.compress])
+def test_wrapped_base64(width, end, pack):
+    for lead in range(0, 60, 7):  # the secret crosses line ends and lies in the last line
+        hidden = wrapped(pack((NOISE[: 100 + lead] + SECRET).encode()), width, end)
+        for before, after in (("é\n", "\n"), ("key: ", " x"), ("one\nword\n", "\nafter\n"), ("-----BEGIN KEY-----\n", "\n-----END KEY-----")):
+            spans = secrets.find(before + hidden + after)[1]
+            found = [(s, e) for s, kind, e in spans if kind == 0]
+            assert found and all(len(before) <= s < e <= len(before + hidden) for s, e in found), (lead, before)
+
+
+def test_wrapped_base64_inside_a_layer():
+    inner = wrapped(gzip.compress((NOISE + SECRET).encode()), 64, "\n")
+    hidden = base64.b64encode(f"mail:\n\n{inner}\n".encode()).decode()
+    assert any(kind == 0 for _, kind, _ in secrets.find(f"a {hidden} b")[1])
+
+
+def test_place_of_a_match_inside_wrapped_base64():
+    raw = ("z" * 30 + "AKIA" + "Q" * 20 + "  " + "z" * 30).encode()
+    text = "\n" + wrapped(raw, 64, "\r\n")
+    at = [i for i, c in enumerate(text) if c not in "\r\n"]
+    assert secrets.find(text)[1] == [(at[40], 1, at[-(-54 * 4 // 3) - 1] + 1)]
+
+
 def test_place_of_a_match_inside_base64():
     """The span covers the characters that encode the match and no others."""
     text = base64.b64encode(("z" * 30 + "AKIA" + "Q" * 20 + "  " + "z" * 30).encode()).decode()
