@@ -3,14 +3,13 @@
 The number of distinct sites of each line comes from HyperLogLog sketches, one
 per line hash, which partial aggregation merges before and after the shuffle;
 no list of a line's sites is ever held.  Only lines whose estimate is near the
-threshold have their sites counted exactly.  The first occurrence of a
-boilerplate line stays, so that no sentence disappears from the corpus.
+threshold have their sites counted exactly.  A line of few words must stand on
+more sites than a longer one.  The first occurrence of a boilerplate line stays,
+so that no sentence disappears from the corpus.
 """
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,45 +24,59 @@ NEAR = 0.1
 
 KEYS = ["h1", "h2"]
 
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+#: A word: two characters of a script without spaces, or a letter or digit and what follows it up to white space of any kind.
+WORD = rf"(?U)[{_UNSPACED}]{{1,2}}|[\p{{L}}\p{{N}}&&[^{_UNSPACED}]][^\s{_UNSPACED}]*+"
+
 
-def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row per line of ``min_words`` words or more; ``text_hash`` tells rows of one ``doc_id`` apart."""
+def occurrences(docs: DataFrame, sites: int = SITES, min_words: int = MIN_WORDS, by_spaces: bool = False) -> DataFrame:
+    """A row per line, with the sites it takes (``need``); ``text_hash`` tells rows of one ``doc_id`` apart."""
     lines = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")))
     line = F.trim("col")
     spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
-    return lines.filter(spaces >= min_words - 1).select(
-        "doc_id", "text_hash", F.col("pos").alias("line_no"), "source", F.xxhash64(line).alias("h1"), F.hash(line).alias("h2")
-    )
+    need = F.when(spaces >= min_words - 1, sites)
+    if not by_spaces:
+        words = F.regexp_count(line, F.lit(WORD))
+        need = need.when(words >= min_words, sites).when(words > 0, F.ceil(F.lit(sites * min_words) / words).cast("int"))
+    return lines.select(
+        "doc_id", "text_hash", F.col("pos").alias("line_no"), "source", F.xxhash64(line).alias("h1"), F.hash(line).alias("h2"),
+        need.alias("need"),
+    ).filter("need IS NOT NULL")
 
 
-def widespread(occ: DataFrame, sites: int = SITES) -> DataFrame:
-    """The lines on at least ``sites`` distinct sites, with their first occurrence."""
-    band = max(1, ceil(NEAR * sites))
+def widespread(occ: DataFrame) -> DataFrame:
+    """The lines on at least ``need`` distinct sites, with their first occurrence."""
+    need, band = F.col("need"), F.greatest(F.lit(1), F.ceil(NEAR * F.col("need")))
     estimate = F.hll_sketch_estimate(F.hll_sketch_agg("source", SKETCH_BITS))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no"))
-    lines = occ.groupBy(*KEYS).agg(estimate.alias("estimate"), first.alias("first"))
-    lines = stored(lines.filter(F.col("estimate") >= sites - band), "spread")
-    near = lines.filter(F.col("estimate") <= sites + band).select(*KEYS)
-    pairs = occ.filter("source IS NOT NULL").join(near, KEYS, "left_semi").select(*KEYS, "source").distinct()
-    exact = pairs.groupBy(*KEYS).agg(F.count("*").alias("n")).filter(F.col("n") >= sites).select(*KEYS)
-    return lines.filter(F.col("estimate") > sites + band).select(*KEYS, "first").union(
+    lines = occ.groupBy(*KEYS).agg(estimate.alias("estimate"), first.alias("first"), F.min("need").alias("need"))
+    lines = stored(lines.filter(F.col("estimate") >= need - band), "spread")
+    near = lines.filter(F.col("estimate") <= need + band).select(*KEYS)
+    pairs = occ.filter("source IS NOT NULL").join(near, KEYS, "left_semi").select(*KEYS, "need", "source").distinct()
+    exact = pairs.groupBy(*KEYS, "need").agg(F.count("*").alias("n")).filter(F.col("n") >= need).select(*KEYS)
+    return lines.filter(F.col("estimate") > need + band).select(*KEYS, "first").union(
         lines.join(exact, KEYS).select(*KEYS, "first")
     )
 
 
-def remove_widespread(docs: DataFrame, sites: int = SITES, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_widespread(docs: DataFrame, sites: int = SITES, min_words: int = MIN_WORDS, by_spaces: bool = False) -> DataFrame:
     """``docs`` with ``text`` freed of boilerplate lines, plus ``n_lines``, ``n_spread`` and ``n_removed``.
 
     A line (without spaces at its ends) of at least ``min_words`` words is
     boilerplate when it stands on ``sites`` distinct values of ``source`` or
-    more; a null source is no site.  Its first occurrence, by ``doc_id`` and
-    line, stays; ``n_spread`` counts it, ``n_removed`` does not.  All rows stay,
-    also those left without text; a null text stays null and has no lines.
-    Rows that repeat lose the same lines.  Other columns pass through; columns
-    named like the three counts are replaced.
+    more; a null source is no site.  A line of fewer words must stand on
+    ``sites * min_words / words`` sites: with 5 and 5, one of 3 words on 9 and
+    one of a single word on 25.  Words are parted by any white space; in scripts
+    without spaces two characters count as a word; signs alone are none.
+    ``by_spaces`` counts only lines with ``min_words - 1`` ASCII spaces, as op3's
+    SQL does.  The first occurrence of a line, by ``doc_id`` and line, stays;
+    ``n_spread`` counts it, ``n_removed`` does not.  All rows stay, also those
+    left without text; a null text stays null and has no lines.  Rows that repeat
+    lose the same lines.  Other columns pass through; columns named like the
+    three counts are replaced.
     """
-    occ = stored(occurrences(docs, min_words), "lines")
-    hits = occ.join(widespread(occ, sites), KEYS)
+    occ = stored(occurrences(docs, sites, min_words, by_spaces), "lines")
+    hits = occ.join(widespread(occ), KEYS)
     is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))
     per_doc = hits.groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.when(~is_first, F.col("line_no"))).alias("gone"),

@@ -28,7 +28,7 @@ def op2_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = lines.remove_widespread(read(spark, sf_dir, "documents"))
+    cleaned = lines.remove_widespread(read(spark, sf_dir, "documents"), by_spaces=True)
     return cleaned.select("doc_id", "n_lines", "n_spread", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 

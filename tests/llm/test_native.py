@@ -35,6 +35,20 @@ def test_thresholds_and_first_occurrence(spark):
     assert all(got[10 + i].n_spread == 0 for i in range(4))
 
 
+def test_lines_without_spaces_and_short_lines(spark):
+    chinese, thai = "版权所有，未经许可不得转载", "สงวนลิขสิทธิ์ตามกฎหมาย"
+    spread = {"one\ttwo\tthree\tfour\tfive": 5, "one\u00a0two\u00a0three\u00a0four\u00a0five": 5, chinese: 5, thai: 5}
+    spread |= {"All rights reserved.": 9, "Read more": 13, "Menu": 25}
+    rare = {"a\tb\tc\td\te": 4, "版权所有": 12, "Some rights reserved.": 8, "Read less": 12, "And.": 24, "-----": 30, "": 30}
+    rows = [(i * 100 + k, f"{line}\nown{i}x{k}", f"s{k}") for i, (line, n) in enumerate((spread | rare).items()) for k in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = lines.remove_widespread(docs).collect()
+    gone = {r.doc_id for r in got if r.n_removed}
+    assert gone == {i * 100 + k for i, n in enumerate(spread.values()) for k in range(1, n)}
+    assert {r.text for r in got if r.n_removed} == {f"own{d // 100}x{d % 100}" for d in gone}
+    assert lines.remove_widespread(docs, by_spaces=True).agg(F.sum("n_spread")).first()[0] == 0
+
+
 def test_many_sites_and_a_hot_line(spark):
     """One line in every row on 300 sites: the sketch decides; near the threshold counts are exact."""
     docs = spark.range(3000).select(
