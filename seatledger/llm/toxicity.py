@@ -106,6 +106,7 @@ class Model:
 
     weights: np.ndarray
     bias: float
+    trained: bool = True
 
     def scores(self, texts: list[str]) -> np.ndarray:
         total, size = np.zeros(len(texts)), np.zeros(len(texts))
@@ -130,7 +131,7 @@ def _odds(x: np.ndarray) -> np.ndarray:
 def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 0) -> Model:
     """Embeddings and softmax by stochastic gradients with per-weight rates."""
     if not len(bags):
-        return Model(np.zeros(BUCKETS, np.float32), 0.0)
+        return Model(np.zeros(BUCKETS, np.float32), 0.0, trained=False)
     rng = np.random.default_rng(seed)
     table = rng.uniform(-INIT, INIT, (BUCKETS, DIMS)).astype(np.float32)
     softmax, offset = np.zeros((DIMS, 2), np.float32), np.log(np.bincount(labels, minlength=2) + 1.0).astype(np.float32)
@@ -242,5 +243,7 @@ def _kept(model: Model):
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` whose text scores below 0.5, unchanged."""
+    """The rows of ``docs`` whose text scores below 0.5, unchanged; all rows if the model had nothing to learn from."""
+    if not model.trained:
+        return docs
     return map_arrow(docs, _kept(model), docs.schema)

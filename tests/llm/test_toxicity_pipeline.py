@@ -135,3 +135,14 @@ def test_stages_on_messy_and_empty_tables(spark, sf, messy, nothing):
                 assert out.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
             else:
                 assert out.count() <= docs.count() and out.columns == docs.columns, name
+
+
+def test_toxicity_stage_on_messy_and_empty_tables_and_without_labels(spark, sf, messy, nothing, tmp_path):
+    spark.createDataFrame([(-1, 1, 1), (-2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "none/labels.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "empty/labels.parquet"))
+    for docs in (messy, nothing):
+        out = corpus_pipeline.drop_toxic(spark, docs, sf)
+        assert out.count() <= docs.count() and out.columns == docs.columns
+        for folder in ("none", "empty"):  # no evidence against any document
+            out = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path / folder))
+            assert out.count() == docs.count() and out.columns == docs.columns
