@@ -190,13 +190,15 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of ``labels (doc_id, toxic)``, from at most ``sample`` rows that are not held out.
 
-    Ids with both labels, null labels and labels but 0 and 1 are not used.
+    Ids with both labels, null labels and labels but 0 and 1 are not used.  Of
+    rows that repeat a ``doc_id`` the one with the smallest text hash is used.
     """
     known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").filter(~held_out()).groupBy("doc_id")
     known = known.agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("top")).filter("toxic = top").drop("top")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # At most ``sample`` ids: bounded by the parameter.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "toxic")
     rows = sorted(map_arrow(texts, _bags, _BAG).toLocalIterator(), key=lambda r: (r["doc_id"], bytes(r["buckets"])))
     bags = [(np.frombuffer(bytes(r["buckets"]), "<i4"), np.frombuffer(bytes(r["counts"]), "<i4")) for r in rows]
     return train(bags, np.array([r["toxic"] for r in rows], np.int64))

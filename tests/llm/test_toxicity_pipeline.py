@@ -65,6 +65,18 @@ def test_messy_scores(spark, messy, nothing):
     assert {r.predicted for r in toxicity.scores(messy, untrained).collect()} == {1}
 
 
+def test_repeated_ids_give_one_row_each(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda bags, labels: seen.append((len(bags), labels.tolist())))
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:20]
+    rows = [(i, f"text {i}") for i in ids] + [(ids[0], f"copy {k}") for k in range(500)] + [(ids[1], None)]
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    toxicity.fit(docs, labels)
+    toxicity.fit(docs, labels, sample=5)
+    assert seen[0] == (20, [0, 1] * 10) and seen[1][0] == 5
+
+
 @pytest.fixture(scope="module")
 def stages(spark, sf, tmp_path_factory):
     """Each stage's input and output."""
