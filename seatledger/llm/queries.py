@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, embeddings, jaccard, lines, packing, secrets, sharding, tokens, toxicity
+from . import chat, decontamination, embeddings, jaccard, lines, packing, periodic, secrets, sharding, tokens, toxicity, variants
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,14 @@ def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.drop("text_hash")
 
 
+def op12_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(read(spark, sf_dir, "documents"), planted=True)
+
+
+def op13_trie_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(read(spark, sf_dir, "documents"), planted=True)
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
