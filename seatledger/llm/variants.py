@@ -7,7 +7,8 @@ position are joined with the edges of their nodes at once: a state without an
 edit takes the edges that differ from its next character (replaced) or stays
 where it is (deleted), one with an edit takes the edge of its next character
 only.  States that reach the word's end with one edit at a node that is a word
-are neighbours.
+are neighbours.  Each edge also carries a mask of what can follow it, so that a
+state that has no way on is not written at all.
 
 Near the root a trie is so dense that every word would pass through every node.
 So edits start in the second half of a word only, and a second trie of the
@@ -71,12 +72,20 @@ def _both_ways(words: DataFrame) -> DataFrame:
     return ahead.union(back)
 
 
+def _bit(char: Column) -> Column:
+    """A character's place in a mask of 64; others may share it.  Nothing, where a word ends, has one too."""
+    place = F.when(char == "", 62).otherwise(F.ascii(char) % 64).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+
 def _edges(ways: DataFrame) -> DataFrame:
-    """The trie's edges below the nodes any state can reach, by depth."""
+    """The trie's edges below the nodes any state can reach, by depth, with the mask of what follows."""
     depths = F.sequence(F.floor(F.length("word") / 2).cast("int"), F.length("word") - 1)
     steps = ways.select("back", "word", F.explode(depths).alias("depth"))
-    rows = steps.select("back", "depth", _prefix("word", F.col("depth")).alias("node"), _char("word", F.col("depth")).alias("char"))
-    return rows.distinct().repartitionByRange("depth", "back", "node")
+    at = F.col("depth")
+    rows = steps.select("back", _prefix("word", at).alias("node"), _char("word", at).alias("char"), _bit(_char("word", at + 1)).alias("next"))
+    edges = rows.groupBy("back", "node", "char").agg(F.bit_or("next").alias("next"))
+    return edges.select("*", F.ascii("char").alias("code"), F.length("node").alias("depth")).sortWithinPartitions("depth")
 
 
 def _step(ways: DataFrame, edges: DataFrame, states: DataFrame | None, k: int) -> DataFrame:
@@ -89,9 +98,12 @@ def _step(ways: DataFrame, edges: DataFrame, states: DataFrame | None, k: int) -
     deleted = exact.filter(_char("word", k) != beside).withColumn("edits", F.lit(1))
     if states is not None:
         exact = exact.union(states.filter(F.length("word") > k).select(*exact.columns))
-    near = edges.filter(F.col("depth").between(k - 1, k)).select("back", "node", "char")
-    goes = F.when(F.col("edits") == 0, F.col("char") > _char("word", k)).otherwise(F.col("char") == _char("word", k))
-    moved = exact.join(near, ["back", "node"]).filter(goes)
+    # What a state needs is worked out once, not for every edge it meets.
+    code = F.ascii(_char("word", k))
+    exact = exact.select("*", code.alias("at"), _bit(_char("word", k + 1)).alias("then"))
+    near = edges.filter(F.col("depth").between(k - 1, k)).select("back", "node", "char", "code", "next")
+    goes = F.when(F.col("edits") == 0, F.col("code") > F.col("at")).otherwise(F.col("code") == F.col("at"))
+    moved = exact.join(near, ["back", "node"]).filter(goes & (F.col("next").bitwiseAND(F.col("then")) != 0))
     moved = moved.select("back", "word", "n", F.concat("node", "char").alias("node"), F.lit(1).alias("edits"))
     return moved.union(deleted)
 
