@@ -7,12 +7,9 @@ rewrites history and no span is trusted.  Inside its span a turn's text is
 found by rendering the last turn with two one-letter texts: the outputs differ
 first where the text begins, and what follows that letter is what closes a turn.
 
-All prefixes are rendered from the start, whatever the length; a conversation is
-held as a whole and takes time with the square of its length.  Only a template
-that its caller declares local (a turn's form depends on it and the turn before
-at most) goes on in blocks after the last ``ANCHOR`` turns once a conversation
-has more than ``WHOLE``, so that time and memory stay in proportion to the text;
-each block checks that a shorter anchor gives the same span.
+All prefixes are rendered from the start, whatever the length; of the outputs only
+the last two are held.  A conversation is held as a whole, as its template takes
+it, and takes time with the square of its length.
 """
 
 from __future__ import annotations
@@ -31,7 +28,7 @@ from .common import map_arrow, runs
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
-WHOLE, BLOCK, ANCHOR = 64, 16, 2
+BLOCK = 16
 
 
 # --- the template -----------------------------------------------------------
@@ -89,16 +86,12 @@ def _common_end(texts: list[str]) -> str:
     return end[::-1]
 
 
-def located(template: Template, before: list[Turn], turns: list[Turn]):
-    """What ``turns`` add after ``before``.
-
-    Returns the text added, per turn the span of all of it and of its text, and
-    the constant ending that the last output carries besides.
-    """
-    out = template(before)
-    lengths, cut, ending = [len(out)], 0, _common_end([template([]), out])
+def located(template: Template, turns: list[Turn]):
+    """The whole output but its ending, per turn the span of all of it and of its text, and the constant ending."""
+    out = template([])
+    lengths, cut, ending = [len(out)], 0, out
     for k in range(1, len(turns) + 1):
-        last, out = out, template([*before, *turns[:k]])
+        last, out = out, template(turns[:k])
         cut = max(cut, len(last) - _common(last, out))
         ending = _common_end([ending, out[max(len(out) - len(ending), 0) :]])
         lengths.append(len(out))
@@ -108,25 +101,24 @@ def located(template: Template, before: list[Turn], turns: list[Turn]):
     if len(ending) < cut or any(b < a for a, b in zip(lengths, lengths[1:])):
         raise Rewrites
     bodies = [n - len(ending) for n in lengths]
-    begin = bodies[0] if before else 0
     spans, texts = [], []
     for k, (role, _) in enumerate(turns):
-        one, other = (template([*before, *turns[:k], (role, letter)]) for letter in "AB")
+        one, other = (template([*turns[:k], (role, letter)]) for letter in "AB")
         start = _common(one, other)
         if start < bodies[k] or len(one) != len(other):
             raise Rewrites
-        spans.append((bodies[k] - begin, bodies[k + 1] - begin))
-        texts.append((start - begin, lengths[k + 1] - (len(one) - start - 1) - begin))
-    return out[begin : bodies[-1]], spans, texts, ending
+        spans.append((bodies[k], bodies[k + 1]))
+        texts.append((start, lengths[k + 1] - (len(one) - start - 1)))
+    return out[: bodies[-1]], spans, texts, ending
 
 
 Block = tuple[str, list[tuple[int, int]], int]
 
 
-def whole_blocks(template: Template, turns: Iterator[Turn]) -> Iterator[Block]:
+def formatted_blocks(template: Template, turns: Iterator[Turn]) -> Iterator[Block]:
     """A conversation's output in blocks, all of it rendered from the start: text, spans of the assistant's texts in it, number of turns."""
     said = list(turns)
-    text, spans, texts, ending = located(template, [], said)
+    text, spans, texts, ending = located(template, said)
     for lo in range(0, len(said), BLOCK):
         hi = min(lo + BLOCK, len(said))
         begin, end = spans[lo][0] if lo else 0, spans[hi - 1][1]
@@ -134,23 +126,6 @@ def whole_blocks(template: Template, turns: Iterator[Turn]) -> Iterator[Block]:
         yield text[begin:end] + (ending if hi == len(said) else ""), loss, hi - lo
 
 
-def formatted_blocks(template: Template, turns: Iterator[Turn]) -> Iterator[Block]:
-    """The same for a template declared local, of which only the last turns are rendered again."""
-    first = list(islice(turns, WHOLE + 1))
-    if len(first) <= WHOLE:
-        yield from whole_blocks(template, iter(first))
-        return
-    before: list[Turn] = []
-    while block := first[:BLOCK]:
-        first = [*first[BLOCK:], *islice(turns, BLOCK)]
-        text, _, texts, ending = located(template, before, block)
-        if before and located(template, before[1:], block[:1])[0] != located(template, before, block[:1])[0]:
-            raise Rewrites
-        loss = [span for span, (role, _) in zip(texts, block) if role == "assistant"]
-        yield text + ("" if first else ending), loss, len(block)
-        before = [*before, *block][-ANCHOR:]
-
-
 _BLOCKS = "conv_id long, block int, n_turns int, formatted string, loss array<struct<start:long,end:long>>, rewrites boolean"
 _BLOCKS_ARROW = pa.schema(
     [("conv_id", pa.int64()), ("block", pa.int32()), ("n_turns", pa.int32()), ("formatted", pa.string())]
@@ -163,15 +138,13 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 256) -> Itera
         yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
 
 
-def _formatter(template: Template, local: bool):
-    split = formatted_blocks if local else whole_blocks
-
+def _formatter(template: Template):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for (conv_id,), turns in runs(batches, ["conv_id"]):
             pairs = ((t["role"], t["text"]) for t in turns)
             block = 0
             try:
-                for block, (text, loss, n) in enumerate(split(template, pairs)):
+                for block, (text, loss, n) in enumerate(formatted_blocks(template, pairs)):
                     yield conv_id, block, n, text, [{"start": s, "end": e} for s, e in loss], False
             except Rewrites:
                 yield conv_id, block + 1, 0, None, None, True
@@ -179,7 +152,7 @@ def _formatter(template: Template, local: bool):
     return lambda batches: _batches(rows(batches), _BLOCKS_ARROW)
 
 
-def formatted(conversations: DataFrame, template: Template = marked_turns, local: bool = False) -> DataFrame:
+def formatted(conversations: DataFrame, template: Template = marked_turns) -> DataFrame:
     """Blocks of formatted text per conversation, with the spans of the assistant's texts under the loss.
 
     Turns are ordered by ``turn``, ties by role and text; repeated rows are
@@ -187,17 +160,14 @@ def formatted(conversations: DataFrame, template: Template = marked_turns, local
     are one conversation.  The blocks of a conversation, joined in order, are
     the whole output; spans count from the block's start.  Where the template
     rewrites history, a row with ``rewrites`` and no text follows the blocks
-    that were certain.  ``local`` declares that a turn's form depends on nothing
-    but the turn and the one before it, as in ``marked_turns``; long conversations
-    then take time in proportion to their length.  Without it every prefix is
-    rendered as it is.  Other columns are not read; no rows give no rows.
+    that were certain.  Every prefix is rendered as it is.  Other columns are not read; no rows give no rows.
     """
     empty = F.lit("")
     turns = conversations.select(
         "conv_id", "turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text")
     )
     ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return map_arrow(ordered, _formatter(template, local), _BLOCKS)
+    return map_arrow(ordered, _formatter(template), _BLOCKS)
 
 
 _DIGEST = (

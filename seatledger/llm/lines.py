@@ -29,15 +29,12 @@ _UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer
 WORD = rf"(?U)[{_UNSPACED}]{{1,2}}|[\p{{L}}\p{{N}}&&[^{_UNSPACED}]][^\s{_UNSPACED}]*+"
 
 
-def occurrences(docs: DataFrame, sites: int = SITES, min_words: int = MIN_WORDS, by_spaces: bool = False) -> DataFrame:
+def occurrences(docs: DataFrame, sites: int = SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """A row per line, with the sites it takes (``need``); ``text_hash`` tells rows of one ``doc_id`` apart."""
     lines = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")))
     line = F.trim("col")
-    spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
-    need = F.when(spaces >= min_words - 1, sites)
-    if not by_spaces:
-        words = F.regexp_count(line, F.lit(WORD))
-        need = need.when(words >= min_words, sites).when(words > 0, F.ceil(F.lit(sites * min_words) / words).cast("int"))
+    words = F.regexp_count(line, F.lit(WORD))
+    need = F.when(words >= min_words, sites).when(words > 0, F.ceil(F.lit(sites * min_words) / words).cast("int"))
     return lines.select(
         "doc_id", "text_hash", F.col("pos").alias("line_no"), "source", F.xxhash64(line).alias("h1"), F.hash(line).alias("h2"),
         need.alias("need"),
@@ -59,7 +56,7 @@ def widespread(occ: DataFrame) -> DataFrame:
     )
 
 
-def remove_widespread(docs: DataFrame, sites: int = SITES, min_words: int = MIN_WORDS, by_spaces: bool = False) -> DataFrame:
+def remove_widespread(docs: DataFrame, sites: int = SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``text`` freed of boilerplate lines, plus ``n_lines``, ``n_spread`` and ``n_removed``.
 
     A line (without spaces at its ends) of at least ``min_words`` words is
@@ -67,22 +64,26 @@ def remove_widespread(docs: DataFrame, sites: int = SITES, min_words: int = MIN_
     more; a null source is no site.  A line of fewer words must stand on
     ``sites * min_words / words`` sites: with 5 and 5, one of 3 words on 9 and
     one of a single word on 25.  Words are parted by any white space; in scripts
-    without spaces two characters count as a word; signs alone are none.
-    ``by_spaces`` counts only lines with ``min_words - 1`` ASCII spaces, as op3's
-    SQL does.  The first occurrence of a line, by ``doc_id`` and line, stays;
+    without spaces two characters count as a word; signs alone are none.  The first occurrence of a line, by ``doc_id`` and line, stays;
     ``n_spread`` counts it, ``n_removed`` does not.  All rows stay, also those
     left without text; a null text stays null and has no lines.  Rows that repeat
     lose the same lines.  Other columns pass through; columns named like the
-    three counts are replaced.
+    three counts are replaced.  No rows give no rows.  A text's lines are held as
+    one array, whatever its length; its removed lines as another.
     """
-    occ = stored(occurrences(docs, sites, min_words, by_spaces), "lines")
+    occ = stored(occurrences(docs, sites, min_words), "lines")
     hits = occ.join(widespread(occ), KEYS)
     is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))
     per_doc = hits.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.when(~is_first, F.col("line_no"))).alias("gone"),
+        F.sort_array(F.collect_set(F.when(~is_first, F.col("line_no")))).alias("gone"),
         F.count_distinct("line_no").alias("spread"),
     )
-    per_doc = per_doc.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("hash"), "gone", "spread")
+    # Whether each line is removed, up to the last that is: found by its number, so that time is in proportion to the lines.
+    gap = lambda g, j: F.array_repeat(F.lit(False), g - F.coalesce(F.get("gone", j - 1), F.lit(-1)) - 1)
+    mask = F.flatten(F.transform("gone", lambda g, j: F.concat(gap(g, j), F.array(F.lit(True)))))
+    per_doc = per_doc.select(
+        F.col("doc_id").alias("of"), F.col("text_hash").alias("hash"), F.size("gone").alias("n_gone"), mask.alias("mask"), "spread"
+    )
 
     kept = docs.drop("n_lines", "n_spread", "n_removed").alias("d")
     found = kept.join(
@@ -91,8 +92,8 @@ def remove_widespread(docs: DataFrame, sites: int = SITES, min_words: int = MIN_
         "left",
     )
     lines = F.split("d.text", "\n")
-    removed = F.coalesce(F.size("p.gone"), F.lit(0))
-    rest = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("p.gone"), i)), "\n")
+    removed = F.coalesce("p.n_gone", F.lit(0))
+    rest = F.array_join(F.filter(lines, lambda _, i: ~F.coalesce(F.get("p.mask", i), F.lit(False))), "\n")
     text = F.when(removed > 0, rest).otherwise(F.col("d.text"))
     return found.select(
         *[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in kept.columns],

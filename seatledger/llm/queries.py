@@ -28,7 +28,7 @@ def op2_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = lines.remove_widespread(read(spark, sf_dir, "documents"), by_spaces=True)
+    cleaned = lines.remove_widespread(read(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_spread", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
@@ -40,7 +40,7 @@ def op5_incremental_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], turns.schema)
-    return chat.digests(chat.formatted(turns.union(extra), local=True))
+    return chat.digests(chat.formatted(turns.union(extra)))
 
 
 def op6_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,19 +81,23 @@ def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
 
-LINES_SQL = """
+_UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}"
+_WHITE = r"\s\x0B\x{85}\p{Z}"
+
+#: Two characters of a script without spaces become a sign of their own first, which then counts as a word.
+LINES_SQL = rf"""
 WITH line AS (
     SELECT doc_id, source, line_no, trim(line) AS line, line AS raw,
-           length(trim(line)) - length(replace(trim(line), ' ', '')) >= 4 AS counts
+           len(regexp_extract_all(regexp_replace(trim(line), '[{_UNSPACED}]{{1,2}}', chr(1), 'g'), '\x01|[\p{{L}}\p{{N}}][^{_WHITE}\x01]*')) AS words
     FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
                  unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents)
 ), spread AS (
-    SELECT line, min((doc_id, line_no)) AS first FROM line WHERE counts
-    GROUP BY line HAVING count(DISTINCT source) >= 5
+    SELECT line, min((doc_id, line_no)) AS first FROM line WHERE words > 0
+    GROUP BY line HAVING count(DISTINCT source) >= CASE WHEN max(words) >= 5 THEN 5 ELSE ceil(25 / max(words)) END
 ), marked AS (
     SELECT l.doc_id, l.line_no, l.raw, s.line IS NOT NULL AS spread,
            s.line IS NOT NULL AND (l.doc_id, l.line_no) <> s.first AS removed
-    FROM line l LEFT JOIN spread s ON l.line = s.line AND l.counts
+    FROM line l LEFT JOIN spread s ON l.line = s.line
 )
 SELECT doc_id, count(*)::INT AS n_lines, count(*) FILTER (WHERE spread)::INT AS n_spread,
        count(*) FILTER (WHERE removed)::INT AS n_removed,

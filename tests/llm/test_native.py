@@ -46,7 +46,6 @@ def test_lines_without_spaces_and_short_lines(spark):
     gone = {r.doc_id for r in got if r.n_removed}
     assert gone == {i * 100 + k for i, n in enumerate(spread.values()) for k in range(1, n)}
     assert {r.text for r in got if r.n_removed} == {f"own{d // 100}x{d % 100}" for d in gone}
-    assert lines.remove_widespread(docs, by_spaces=True).agg(F.sum("n_spread")).first()[0] == 0
 
 
 def test_many_sites_and_a_hot_line(spark):
@@ -94,3 +93,11 @@ def test_messy_shards(messy, nothing):
     rows = sharding.shards(messy, 3).collect()
     assert len(rows) == messy.count() == len({(r.shard, r.slot) for r in rows})
     assert sharding.shards(nothing).count() == 0
+
+
+def test_a_text_with_many_removed_lines(spark):
+    body = "\n".join(f"boilerplate line with number {i}" for i in range(30_000))
+    rows = [(i, f"first {i}\n{body}\nlast {i}", f"s{i}") for i in range(6)]
+    got = lines.remove_widespread(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id: r.text for r in got if r.doc_id} == {i: f"first {i}\nlast {i}" for i in range(1, 6)}
+    assert {r.n_removed for r in got} == {0, 30_000}
