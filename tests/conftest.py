@@ -6,9 +6,9 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from seatledger.session import local_session  # noqa: E402
+from samples import SF  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
+from seatledger.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

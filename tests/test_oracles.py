@@ -2,7 +2,7 @@
 
 import compare
 import pytest
-from conftest import SF
+from samples import SF
 
 from seatledger import oracles, registry
 
