@@ -24,6 +24,7 @@ def correlate(
     minutes: int = 10,
     minute_semantics: str = "elapsed",
     spread: int = 1,
+    slots: bool = True,
 ) -> DataFrame:
     """Pair each booking with the payments of its order up to ``minutes`` later.
 
@@ -32,8 +33,8 @@ def correlate(
     the minute marks between both times, so a payment of the same minute counts
     even when it came slightly before the booking.  The linear bounds given with
     it only limit the join state; every boundary match lies within them.
-    ``spread`` splits the messages of a busy order on streams, see
-    :func:`interval_join`.
+    ``spread`` splits the messages of a busy order on streams, and without
+    ``slots`` rows meet by order alone, see :func:`interval_join`.
     """
     booked, paid = TIME_COLUMNS[time_basis]
     if minute_semantics == "elapsed":
@@ -53,6 +54,7 @@ def correlate(
         upper=upper,
         extra=extra,
         spread=spread,
+        slots=slots,
         spread_by=[c for c in ("booking_id", "booking_enqueued_time", "seats") if c in bookings.columns],
     )
 

@@ -21,6 +21,7 @@ def interval_join(
     extra: Column | None = None,
     spread: int = 1,
     spread_by: list[str] | None = None,
+    slots: bool = True,
 ) -> DataFrame:
     """Inner join on ``on`` where ``right_time - left_time`` is in ``lower..upper`` seconds.
 
@@ -36,23 +37,24 @@ def interval_join(
     repeats the right rows for each lane.
 
     The time bounds are part of the join condition, so on watermarked streams
-    they also limit the state.  Other columns must not share names.
+    they also limit the state.  Other columns must not share names.  Without
+    ``slots`` the key alone decides where rows meet, for tables stored by it.
     """
     shared = (set(left.columns) & set(right.columns)) - {on}
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
     if upper < lower:
         raise ValueError("upper must not be below lower")
-    width = max(SHORTEST_SLOT, 6 * (upper - lower))
-
-    left = left.withColumn(_SLOT, _slot(F.unix_seconds(left_time), width))
-    moment = F.unix_seconds(right_time)
-    slots = F.sequence(_slot(moment - upper, width), _slot(moment - lower, width))
     right_on, right_slot, right_lane = f"__right_{on}", f"{_SLOT}_right", f"{_LANE}_right"
     right = right.withColumnRenamed(on, right_on).filter(F.col(right_time).isNotNull())
-    right = right.select("*", F.explode(slots).alias(right_slot))
-
-    where = (F.col(on) == F.col(right_on)) & (F.col(_SLOT) == F.col(right_slot))
+    where = F.col(on) == F.col(right_on)
+    if slots:
+        width = max(SHORTEST_SLOT, 6 * (upper - lower))
+        left = left.withColumn(_SLOT, _slot(F.unix_seconds(left_time), width))
+        moment = F.unix_seconds(right_time)
+        reached = F.sequence(_slot(moment - upper, width), _slot(moment - lower, width))
+        right = right.select("*", F.explode(reached).alias(right_slot))
+        where = where & (F.col(_SLOT) == F.col(right_slot))
     if spread > 1:
         by = [F.col(c) for c in (spread_by or [left_time])]
         left = left.withColumn(_LANE, F.pmod(F.xxhash64(*by), F.lit(spread)).cast("int"))

@@ -75,7 +75,17 @@ def weekly_kpis(fact: DataFrame, as_of=None, days: int = 7, whole_ms: bool = Tru
     A tie for the best city goes to the first name.  ``whole_ms`` cuts the
     average processing time to a whole number.
     """
-    sums = {
+    pairs = (
+        last_days(fact, days, as_of)
+        .groupBy("customer_city", "customer_id")
+        .agg(*[measure.alias(name) for name, measure in weekly_sums().items()])
+    )
+    return weekly_report(pairs, days, whole_ms)
+
+
+def weekly_sums() -> dict[str, Column]:
+    """What the KPI report adds up per city and customer; sums of these sums are sums again."""
+    return {
         "n": F.count("*"),
         "revenue": F.sum("total_amount"),
         "priced": F.count("total_amount"),
@@ -89,11 +99,11 @@ def weekly_kpis(fact: DataFrame, as_of=None, days: int = 7, whole_ms: bool = Tru
         "ms": F.sum("processing_time_ms"),
         "timed": F.count("processing_time_ms"),
     }
-    pairs = (
-        last_days(fact, days, as_of)
-        .groupBy("customer_city", "customer_id")
-        .agg(*[measure.alias(name) for name, measure in sums.items()])
-    )
+
+
+def weekly_report(pairs: DataFrame, days: int = 7, whole_ms: bool = True) -> DataFrame:
+    """The KPI report from the ``weekly_sums`` of each city and customer."""
+    sums = list(weekly_sums())
     city, customer = F.col("customer_city"), F.col("customer_id")
     groups = pairs.groupingSets([[city], [customer]], city, customer).agg(
         F.grouping("customer_id").alias("per_city"),

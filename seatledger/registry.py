@@ -17,19 +17,20 @@ from pyspark.sql import types as T
 from .functions.fees import with_tax_and_fees
 from .functions.rules import categorize_event, register_sql_rules
 from .operators.audits import booking_total_audit, fee_audit_summary, with_derived_price
-from .operators.bookings import PART, booking_problems, flatten_seats, validate_bookings, whole_bookings
+from .operators.bookings import PART, booking_problems, flatten_seats, validate_bookings, whole_bookings, with_seats
 from .operators.intervals import interval_join
 from .operators.lookups import method_conformance, section_conformance
 from .operators.payments import validate_payments
-from .operators.quality import REASON, length_report, rejected, split_required
-from .plans import kpis, report, trends
+from .operators.quality import REASON, length_report, rejected, split_required, tag_rejects
+from .plans import kpis, partials, report, trends
+from .operators.correlate import fact_columns, with_measures
 from .plans.fact import booking_fact, payment_grain
 from .schemas import BOOKING_SCHEMA, FACT_SCHEMA, PAYMENT_SCHEMA
 from .session import prepare
-from .sources import events, replay, tables
+from .sources import colocated, events, replay, rescue, tables
 from .sources.replay import AS_OF, Replay
 from .sources.workspace import workspace
-from .streaming import jobs, sinks
+from .streaming import jobs, sinks, split
 from .streaming import replay as stream_replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +115,33 @@ def json_validated_payments(spark, d):
     return _payment_text(validate_payments(events.decode_payments(records)))
 
 
+@query
+def json_rejects(spark, d):
+    """Booking records damaged by their number: cut off, mistyped, not an object; what is wrong and what is kept."""
+    headers = Replay(spark, d).booking_headers()
+    records = events.encode_events(headers, BOOKING_SCHEMA, key="booking_id")
+    kind = F.substring("key", 9, 20).cast("long") % 9
+    text = F.col("value")
+    damaged = (
+        F.when(kind == 1, F.expr("substring(value, 1, length(value) - 1)"))
+        .when(kind == 2, F.regexp_replace(text, '"total_amount":[^,}]*', '"total_amount":"many"'))
+        .when(kind == 3, F.regexp_replace(text, '"event_details":\\{[^}]*\\}', '"event_details":"none"'))
+        .when(kind == 4, F.regexp_replace(text, '"total_seats":[0-9]+', '"total_seats":2.5'))
+        .when(kind == 5, F.regexp_replace(text, '"total_seats":[0-9]+', '"total_seats":3.0'))
+        .when(kind == 6, F.concat(F.lit("["), text, F.lit("]")))
+        .when(kind == 7, F.regexp_replace(text, '"event_details":\\{', '"event_details":{"seats":{"a":1},'))
+        .when(kind == 8, F.regexp_replace(text, '"customer_id":"[^"]*"', '"customer_id":17'))
+        .otherwise(text)
+    )
+    decoded = rescue.decode_rescued(records.withColumn("value", damaged), BOOKING_SCHEMA)
+    return decoded.select(
+        F.col("customer.customer_id").alias("customer_id"),
+        F.unix_seconds("arrival_time").alias("arrival_epoch"),
+        rescue.PROBLEM,
+        F.array_join(F.transform(rescue.FAULTS, lambda f: F.concat_ws(" ", f["path"], f["found"], f["value"])), ", ").alias("faults"),
+    )
+
+
 @query
 def event_category(spark, d):
     bookings = Replay(spark, d).booking_headers().select("booking_id", "event_details.*")
@@ -216,6 +244,38 @@ def stored_fact_weekly_kpis(spark, d):
     return _weekly(kpis.weekly_kpis(tables.read_fact(spark, path), AS_OF))
 
 
+@query
+def partials_weekly_kpis(spark, d):
+    """The report from sums per day, kept up to date over three batches whose rows share their days."""
+    return _weekly(partials.weekly_kpis(spark, _partials(spark, d), AS_OF))
+
+
+@query
+def partials_revenue_summary(spark, d):
+    return _summary(partials.revenue_summary(spark, _partials(spark, d), AS_OF))
+
+
+@query
+def partials_unique_customers(spark, d):
+    """Customers per city over half a year from the sketches, held against the exact number."""
+    home = _partials(spark, d)
+    first, last = dt.date(2001, 1, 1), dt.date(2001, 6, 30)
+    rows = spark.read.parquet(f"{home}/fact").filter(F.col(partials.DAY).between(first, last))
+    exact = rows.groupBy("customer_city").agg(F.count_distinct("customer_id").alias("exact_customers"))
+    found = partials.unique_customers(spark, home, first, last, ["customer_city"])
+    off = F.abs(F.col("unique_customers") - F.col("exact_customers"))
+    both = found.join(exact, "customer_city")
+    return both.select("customer_city", "exact_customers", (off <= 0.08 * F.col("exact_customers")).alias("close"))
+
+
+@query
+def colocated_join(spark, d):
+    """Bookings and payments stored in buckets by order, then joined bucket by bucket."""
+    names = _colocated(spark, d)
+    rows = colocated.join_by_order(spark, *names)
+    return _fact_text(fact_columns(flatten_seats(with_measures(rows))))
+
+
 @query
 def stored_fact_rejects(spark, d):
     """What the write kept out of the stored fact."""
@@ -493,6 +553,49 @@ def stream_sliding_after_join(spark, d):
     return _windows_after_join(spark, d, "5 minutes")
 
 
+@query
+def stream_join_event_time(spark, d):
+    """The join on the times inside the events, each topic with the watermark of its own clock."""
+    path = workspace(spark, "event-time")
+    rows = jobs.streaming_fact(*_feeds(spark, d, path), time_basis="event")
+    sinks.run_to_end(sinks.append_stream(rows, f"{path}/fact", f"{path}/checkpoint"))
+    return _pair_columns(spark.read.parquet(f"{path}/fact"))
+
+
+@query
+def stream_late_rows(spark, d):
+    """Payments by year, one in 29 of them delivered a year late: rows in time and rows kept apart as late."""
+    path = workspace(spark, "late-rows")
+    records = events.encode_events(Replay(spark, d).payments(), PAYMENT_SCHEMA, key="payment_id")
+    held_back = (F.substring_index(F.substring("key", 9, 20), "_", 1).cast("long") % 29 == 0).cast("int")
+    records = records.withColumn("slice", F.year("timestamp") + held_back)
+    records.write.partitionBy("slice").parquet(f"{path}/staged")
+    staged = spark.read.parquet(f"{path}/staged")
+    for (year,) in sorted(staged.select("slice").distinct().collect()):  # as many as the calendar has years
+        here = staged.filter(F.col("slice") == year).drop("slice")
+        stream_replay.append_slice(here, f"{path}/payments", 2, 0)
+    payments = validate_payments(events.decode_payments(stream_replay.sliced_records(spark, f"{path}/payments", 2)))
+    sinks.run_to_end(split.split_late(payments, "payment_enqueued_time", 60, f"{path}/rows", f"{path}/checkpoint"))
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.groupBy(F.year("payment_enqueued_time").alias("arrival_year")).agg(
+        F.count_if(F.col(split.OUTPUT) == split.ON_TIME).alias("on_time"),
+        F.count_if(F.col(split.OUTPUT) == split.LATE).alias("late"),
+        F.max(split.DELAY_SECONDS).cast("long").alias("longest_delay"),
+    )
+
+
+@query
+def stream_checked_bookings(spark, d):
+    """Fit bookings and rejects of one stream, read once and written under one batch number."""
+    path = workspace(spark, "checked")
+    bookings = stream_replay.booking_feed(Replay(spark, d).booking_headers(), f"{path}/bookings")
+    marked = tag_rejects(whole_bookings(bookings), booking_problems())
+    output = F.when(F.col(REASON).isNull(), "fit").otherwise("rejected")
+    sinks.run_to_end(split.split_stream(marked, output, f"{path}/rows", f"{path}/checkpoint"))
+    fit = split.read_output(spark, f"{path}/rows", "fit").select("booking_id", F.lit("fit").alias(REASON))
+    return fit.union(split.read_output(spark, f"{path}/rows", "rejected").select("booking_id", REASON))
+
+
 @query
 def stream_running_success(spark, d):
     path = workspace(spark, "running-success")
@@ -522,6 +625,27 @@ def stream_events_click_purchase(spark, d):
 # --- shapes -----------------------------------------------------------------
 
 
+def _partials(spark, d) -> str:
+    """The fact and its sums per day, from three batches; an order's rows come in one of them."""
+    home = workspace(spark, "partials")
+    rows, _ = split_required(fact(spark, d))
+    part = F.pmod(F.xxhash64("order_id"), F.lit(3)).cast("int")
+    rows.withColumn("part", part).write.partitionBy("part").parquet(f"{home}-staged")
+    for batch in range(3):
+        partials.absorb(spark.read.parquet(f"{home}-staged").filter(F.col("part") == batch), home, batch)
+    return home
+
+
+def _colocated(spark, d) -> tuple[str, str]:
+    tables.create_database(spark)
+    mark = workspace(spark, "colocated").rsplit("-", 1)[-1]
+    names = (f"{tables.DATABASE}.bookings_{mark}", f"{tables.DATABASE}.payments_{mark}")
+    source = Replay(spark, d)
+    colocated.store_by_order(with_seats(validate_bookings(source.nested_bookings())), names[0], 16)
+    colocated.store_by_order(validate_payments(source.payments()), names[1], 16)
+    return names
+
+
 def _stream_fact(spark, d) -> DataFrame:
     return tables.read_fact(spark, _stream_fact_path(spark, d))
 

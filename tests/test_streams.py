@@ -14,7 +14,7 @@ from seatledger.sources.events import decode_bookings, decode_payments, encode_e
 from seatledger.sources.replay import Replay
 from seatledger.sources.workspace import workspace
 from seatledger.streaming import jobs, sinks
-from seatledger.streaming.replay import sliced_feeds
+from seatledger.streaming.replay import append_slice, sliced_feeds
 
 
 def same(a, b):
@@ -75,8 +75,8 @@ def test_rows_behind_the_watermark_are_counted(spark, sf):
     path, source = workspace(spark, "late"), Replay(spark, sf)
     bookings, payments = sliced_feeds(source.nested_bookings(), source.payments(), path, slices=3)
     early = encode_events(source.nested_bookings().orderBy("arrival_time").limit(20), BOOKING_SCHEMA)
-    early.coalesce(1).write.mode("append").parquet(f"{path}/bookings")
-    spark.createDataFrame([], early.schema).coalesce(1).write.mode("append").parquet(f"{path}/payments")
+    append_slice(early, f"{path}/bookings", 1, 0)
+    append_slice(early.limit(0), f"{path}/payments", 1, 0)
     query = sinks.append_stream(jobs.streaming_fact(bookings, payments), f"{path}/data", f"{path}/checkpoint")
     sinks.run_to_end(query)
     assert sinks.late_rows(query) > 0
