@@ -85,7 +85,7 @@ def flatten_seats(bookings: DataFrame) -> DataFrame:
     average = F.try_divide(F.col("booking_amount"), F.col("total_seats_booked").cast("double"))
     return (
         bookings.select("*", F.inline("seats"))
-        .drop("seats")
+        .drop("seats", PART)
         .withColumnRenamed("price", "seat_price")
         .filter(F.col("seat_number").isNotNull() & _positive(F.col("seat_price")))
         .withColumns(

@@ -17,8 +17,6 @@ BOOKING_SCHEMA = T.StructType(
         T.StructField("order_id", T.StringType()),
         T.StructField("booking_id", T.StringType()),
         T.StructField("booking_time", T.StringType()),
-        # Big bookings come as several messages, each with the totals of the whole.
-        T.StructField("message_part", T.IntegerType()),
         T.StructField(
             "customer",
             T.StructType(
@@ -60,6 +58,9 @@ BOOKING_SCHEMA = T.StructType(
     ]
 )
 
+# Big bookings may come as several messages, each with the totals of the whole and a part number.
+MESSAGE_SCHEMA = T.StructType([*BOOKING_SCHEMA.fields, T.StructField("message_part", T.IntegerType())])
+
 PAYMENT_SCHEMA = T.StructType(
     [
         T.StructField("payment_id", T.StringType()),

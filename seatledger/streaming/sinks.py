@@ -5,8 +5,8 @@
 keeps every batch's changed rows, and ``latest`` reads the newest of each key.
 Each batch writes its own folder and replaces it when the batch is run again.
 ``compact`` writes the newest rows of all batches so far as a snapshot; from then
-on ``latest`` reads the snapshot and the batches after it, so its cost follows the
-number of keys, not that of batches.
+on ``latest`` opens the snapshot and the batches after it only, so what it reads
+follows the number of keys, not that of batches.
 """
 
 from __future__ import annotations
@@ -50,14 +50,7 @@ def change_stream(df: DataFrame, path: str, checkpoint: str, *, every: str | Non
 
 def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """The newest version of each key; of the one row if ``keys`` is empty."""
-    upto, snapshot = _snapshot(spark, path)
-    # A batch's number is its folder's: what the snapshot holds is not listed, let alone read.
-    changes = spark.read.parquet(path).filter(F.col(BATCH) > upto)
-    if snapshot is not None:
-        changes = changes.unionByName(spark.read.parquet(snapshot))
-    kept = [c for c in changes.columns if c not in keys and c != BATCH]
-    newest = F.max_by(F.struct(*kept), BATCH).alias("row")
-    return changes.groupBy(*keys).agg(newest).select(*keys, "row.*")
+    return _newest(spark, path, keys).drop(BATCH)
 
 
 def compact(spark: SparkSession, path: str, keys: list[str]) -> int:
@@ -79,9 +72,13 @@ def compact(spark: SparkSession, path: str, keys: list[str]) -> int:
     return last
 
 
-def _newest(spark: SparkSession, path: str, keys: list[str], last: int) -> DataFrame:
+def _newest(spark: SparkSession, path: str, keys: list[str], last: int | None = None) -> DataFrame:
+    """The newest version of each key up to batch ``last``, with its batch."""
     upto, snapshot = _snapshot(spark, path)
-    rows = spark.read.parquet(path).filter(F.col(BATCH).between(upto + 1, last))
+    # A batch's number is its folder's: files of what the snapshot holds are ruled out by name and not opened.
+    rows = spark.read.parquet(path).filter(F.col(BATCH) > upto)
+    if last is not None:
+        rows = rows.filter(F.col(BATCH) <= last)
     if snapshot is not None:
         rows = rows.unionByName(spark.read.parquet(snapshot))
     kept = [c for c in rows.columns if c not in keys]

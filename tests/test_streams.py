@@ -9,7 +9,7 @@ from samples import BOOKING, PAYMENT, START, changed, records
 from seatledger.plans.fact import booking_fact
 from seatledger.plans.trends import windowed_revenue
 from seatledger.registry import _fact_text
-from seatledger.schemas import BOOKING_SCHEMA, PAYMENT_SCHEMA
+from seatledger.schemas import BOOKING_SCHEMA, MESSAGE_SCHEMA, PAYMENT_SCHEMA
 from seatledger.sources.events import decode_bookings, decode_payments, encode_events, read_records
 from seatledger.sources.replay import Replay
 from seatledger.sources.workspace import workspace
@@ -74,7 +74,7 @@ def test_rows_behind_the_watermark_are_counted(spark, sf):
     """An early booking that comes with the last slice is late, whatever else comes in time."""
     path, source = workspace(spark, "late"), Replay(spark, sf)
     bookings, payments = sliced_feeds(source.nested_bookings(), source.payments(), path, slices=3)
-    early = encode_events(source.nested_bookings().orderBy("arrival_time").limit(20), BOOKING_SCHEMA)
+    early = encode_events(source.nested_bookings().orderBy("arrival_time").limit(20), MESSAGE_SCHEMA)
     append_slice(early, f"{path}/bookings", 1, 0)
     append_slice(early.limit(0), f"{path}/payments", 1, 0)
     query = sinks.append_stream(jobs.streaming_fact(bookings, payments), f"{path}/data", f"{path}/checkpoint")
