@@ -36,10 +36,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     that repeat ``doc_id`` and text one stays.
     """
     found = jaccard.near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
-    gone = found.filter("NOT kept").select(F.col("doc_id").alias("of"))
-    kept = docs.join(gone, F.col("doc_id") == F.col("of"), "left_anti")
-    again = F.row_number().over(W.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))
-    once = kept.filter("doc_id IS NOT NULL").withColumn("_again", again).filter("_again = 1")
+    gone = found.filter("NOT kept").alias("g")
+    kept = docs.alias("d").join(gone, F.col("d.doc_id") == F.col("g.doc_id"), "left_anti").select("d.*")
+    again = "_again"
+    while again in docs.columns:
+        again += "_"
+    number = F.row_number().over(W.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))
+    once = kept.filter("doc_id IS NOT NULL").withColumn(again, number).filter(F.col(again) == 1)
     return once.select(*docs.columns).union(kept.filter("doc_id IS NULL"))
 
 

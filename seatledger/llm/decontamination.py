@@ -191,20 +191,25 @@ def _rows(passage: np.ndarray, term: np.ndarray, counts: np.ndarray, weights: np
     return passage[begin], begin, term, values / np.repeat(norms, np.diff(np.append(begin, len(passage)))), norms
 
 
+def _blocks(begin: np.ndarray, term: np.ndarray, values: np.ndarray, rows: int = 256) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Some rows at a time: the first of them, the terms they have, and their values as a matrix over those terms."""
+    ends = np.append(begin, len(term))
+    for lo in range(0, len(begin), rows):
+        hi = min(lo + rows, len(begin))
+        used, column = np.unique(term[ends[lo] : ends[hi]], return_inverse=True)
+        dense = np.zeros((hi - lo, len(used)), "f4")
+        dense[np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1])), column] = values[ends[lo] : ends[hi]]
+        yield lo, used, dense
+
+
 def _multiplied(weights: np.ndarray, seed: int, rank: int):
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         random = np.random.default_rng(seed).standard_normal((len(weights), rank)).astype("f4")
         total = np.zeros((len(weights), rank), "f4")
         for _, hits in _read(batches):
             _, begin, term, values, _ = _rows(*hits.vectors(len(weights), PASSAGE)[:3], weights)
-            if not len(begin):
-                continue
-            values = values.astype("f4")[:, None]
-            product = np.add.reduceat(random[term] * values, begin)
-            order = np.argsort(term, kind="stable")
-            row = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(term))))[order]
-            groups = np.flatnonzero(np.diff(term[order], prepend=-1))
-            total[term[order][groups]] += np.add.reduceat(product[row] * values[order], groups)
+            for _, used, dense in _blocks(begin, term, values):
+                total[used] += dense.T @ (dense @ random[used])
         used = np.flatnonzero(total.any(1))
         raw = [total[i].tobytes() for i in used.tolist()]
         yield pa.record_batch([pa.array(used, pa.int64()), pa.array(raw, pa.binary())], ["term", "row"])
@@ -294,7 +299,9 @@ def _searched(items: Items, weights: np.ndarray, directions: np.ndarray, cosine:
         rows, begin, term, values, norms = _rows(passage, term, counts, weights)
         if not len(begin):
             return rows, begin, term, values, np.empty((0, directions.shape[1]), "f4"), offsets
-        latent = np.add.reduceat(directions[term] * values.astype("f4")[:, None], begin)
+        latent = np.empty((len(begin), directions.shape[1]), "f4")
+        for lo, used, dense in _blocks(begin, term, values):
+            latent[lo : lo + len(dense)] = dense @ directions[used]
         latent /= np.maximum(np.sqrt((latent * latent).sum(1, keepdims=True)), 1e-9)
         raw = values * np.repeat(norms, np.diff(np.append(begin, len(term))))
         return rows, begin, term, raw, latent, offsets
@@ -366,7 +373,8 @@ def _searched(items: Items, weights: np.ndarray, directions: np.ndarray, cosine:
             if best.get((t, k), (0.0,))[0] < 1:  # nothing covers more than all of the item
                 compare(t, k, at, None)
         for (t, k), (covered, told, at, close) in best.items():
-            yield t, items.ids[k], at, close, covered, told
+            # Rounded: the last digits depend on which passages are multiplied together.
+            yield t, items.ids[k], at, None if close is None else round(float(close), 4), covered, told
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, hits in _read(batches):
@@ -411,10 +419,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, cover:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; all other rows unchanged."""
+    """``docs`` without the documents that hold a benchmark item; all other rows unchanged.
+
+    Rows with null texts stay; of rows that repeat ``doc_id`` and text all go or
+    none; empty tables give what is there.  Columns of any name pass through.
+    """
     bad = stored(leaks(docs, benchmark).select("doc_id", "text_hash").distinct(), "leaks")
-    bad = bad.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("hash"))
     kept = docs.alias("d").join(
-        bad, F.col("d.doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("d.text") == F.col("hash")), "left_anti"
+        bad.alias("b"), F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64("d.text") == F.col("b.text_hash")), "left_anti"
     )
     return kept.select("d.*")

@@ -20,7 +20,7 @@ def messy(spark):
     ]
     schema = "doc_id long, text string, source string"
     return spark.createDataFrame(rows, schema).selectExpr(
-        "*", "'x' AS n", "'y' AS piece", "1 AS length", "2 AS node", "3 AS cid", "4 AS score", "5 AS n_removed", "6 AS h1"
+        "*", "7 AS of", "8 AS hash", "9 AS _again", "10 AS need", "11 AS gone", "'x' AS n", "'y' AS piece", "1 AS length", "2 AS node", "3 AS cid", "4 AS score", "5 AS n_removed", "6 AS h1"
     )
 
 
