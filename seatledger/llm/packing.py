@@ -45,18 +45,24 @@ def _known_ids(path: str) -> Memory:
     def library(words: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in encode(words, add_special_tokens=False)]
 
+    cores = Memory(lambda found: [np.array(plain(core), "<u4").tobytes() for core in found])
+
     def make(words: list[str]) -> list[bytes]:
-        out, rest = [], []
+        out, rest, asked = [b""] * len(words), [], []
         for i, word in enumerate(words):
+            if not word:  # between two spaces
+                continue
             core = word.rstrip(".,")
             tail = word[len(core) :]
             if len(tail) > 8 or not is_plain(core):
                 rest.append(i)
-                out.append(b"")
                 continue
             if tail not in tails:
                 tails[tail] = library([tail])[0]
-            out.append(np.array(plain(core.lower()), "<u4").tobytes() + tails[tail])
+            asked.append((i, core.lower(), tail))
+        # Words that differ by what follows them or by capitals share their letters' ids.
+        for (i, _, tail), ids in zip(asked, cores.of([core for _, core, _ in asked])):
+            out[i] = ids + tails[tail]
         for i, ids in zip(rest, library([words[i] for i in rest])):
             out[i] = ids
         return out
@@ -70,7 +76,7 @@ def token_ids(text: str, path: str) -> np.ndarray:
     Such a tokenizer treats what stands between spaces or line ends on its own:
     normal forms, pre-tokens and special strings never reach across them.
     """
-    words = [w for w in text.replace("\n", " ").split(" ") if w]
+    words = text.replace("\n", " ").split(" ")
     return np.frombuffer(b"".join(_known_ids(path).of(words)), "<u4")
 
 

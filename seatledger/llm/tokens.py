@@ -58,7 +58,7 @@ class Memory(dict):
             self.old = dict(self)
             self.clear()
         new = []
-        for word in {w for w in words if w not in self}:
+        for word in {w for w in set(words) if w not in self}:
             if (value := self.old.get(word)) is None:
                 new.append(word)
             else:
@@ -66,7 +66,7 @@ class Memory(dict):
         for start in range(0, len(new), 1000):
             part = new[start : start + 1000]
             self.update(zip(part, self.make(part)))
-        values = [self[word] for word in words]
+        values = list(map(self.__getitem__, words))
         for word in new:
             if len(word) > LONGEST:
                 del self[word]
