@@ -29,6 +29,8 @@ BUCKETS, DIMS = 1 << 19, 8
 GRAMS = (3, 4, 5)
 #: Bound of the training sample; its documents are chosen by a hash of their id.
 SAMPLE = 6000
+#: Bound of all bags of the sample: 512 MB.  The longest bag has ``BUCKETS`` entries.
+ENTRIES = 1 << 26
 EPOCHS, BATCH, RATE, INIT = 6, 32, 1.0, 0.02
 #: Parts of a training text: a text counts by all of its parts.
 RUN = 1 << 18
@@ -187,9 +189,12 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array([x], t) for x, t in zip(row, types)], names)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: int = ENTRIES) -> Model:
     """A model of ``labels (doc_id, toxic)``, from at most ``sample`` rows that are not held out.
 
+    Their bags may have ``entries`` entries together, 8 bytes each: rows beyond that,
+    in the order of the ids' hashes, are left out.  The driver gets the weights only.
+
     Ids with both labels, null labels and labels but 0 and 1 are not used.  Of
     rows that repeat a ``doc_id`` the one with the smallest text hash is used.
     """
@@ -199,9 +204,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # At most ``sample`` ids: bounded by the parameter.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     texts = texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "toxic")
-    rows = sorted(map_arrow(texts, _bags, _BAG).toLocalIterator(), key=lambda r: (r["doc_id"], bytes(r["buckets"])))
-    bags = [(np.frombuffer(bytes(r["buckets"]), "<i4"), np.frombuffer(bytes(r["counts"]), "<i4")) for r in rows]
-    return train(bags, np.array([r["toxic"] for r in rows], np.int64))
+    # Each of the sample's bags is made where its text is; one task learns from them and gives the weights.
+    bags = map_arrow(texts, _bags, _BAG).repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
+    trained = map_arrow(bags, _trained(entries), "weights binary, bias double, trained boolean").first()
+    if trained is None:  # no rows, no task
+        return train([], np.zeros(0, np.int64))
+    return Model(np.frombuffer(bytes(trained["weights"]), "<f4"), trained["bias"], trained["trained"])
+
+
+def _trained(most: int):
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, entries = [], 0
+        for r in (r for batch in batches for r in batch.to_pylist()):
+            used = np.frombuffer(r["buckets"], "<i4")
+            entries += len(used)
+            if entries > most:
+                break
+            rows.append((r["doc_id"], r["toxic"], used, np.frombuffer(r["counts"], "<i4")))
+        rows.sort(key=lambda r: r[0])
+        model = train([r[2:] for r in rows], np.array([r[1] for r in rows], np.int64))
+        columns = [[model.weights.astype("<f4").tobytes()], [model.bias], [model.trained]]
+        yield pa.record_batch([pa.array(c) for c in columns], ["weights", "bias", "trained"])
+
+    return learn
 
 
 # --- scoring ----------------------------------------------------------------
