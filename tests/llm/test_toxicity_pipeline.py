@@ -66,15 +66,16 @@ def test_messy_scores(spark, messy, nothing):
 
 
 def test_repeated_ids_give_one_row_each(spark, monkeypatch):
-    seen = []
-    monkeypatch.setattr(toxicity, "train", lambda bags, labels: seen.append((len(bags), labels.tolist())))
+    model = toxicity.Model  # what the training was given, in place of weights
+    monkeypatch.setattr(toxicity, "train", lambda bags, labels: model(np.array([len(bags), *labels]), 0.0))
     ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:20]
     rows = [(i, f"text {i}") for i in ids] + [(ids[0], f"copy {k}") for k in range(500)] + [(ids[1], None)]
     labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    toxicity.fit(docs, labels)
-    toxicity.fit(docs, labels, sample=5)
-    assert seen[0] == (20, [0, 1] * 10) and seen[1][0] == 5
+    assert toxicity.fit(docs, labels).weights.tolist() == [20, *[0, 1] * 10]
+    assert toxicity.fit(docs, labels, sample=5).weights[0] == 5
+    # "text 1" has two words and their n-grams: bags beyond the bound of entries are left out.
+    assert 1 <= toxicity.fit(docs, labels, entries=60).weights[0] < 20
 
 
 @pytest.fixture(scope="module")
