@@ -29,12 +29,18 @@ _UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer
 WORD = rf"(?U)[{_UNSPACED}]{{1,2}}|[\p{{L}}\p{{N}}&&[^{_UNSPACED}]][^\s{_UNSPACED}]*+"
 
 
+def _opens_with(words: int) -> str:
+    """A line that opens with so many words parted by white space; it has at least as many by ``WORD``, which parts more."""
+    return rf"(?U)^(?:[^\p{{L}}\p{{N}}]*+[\p{{L}}\p{{N}}]\S*+){{{words}}}"
+
+
 def occurrences(docs: DataFrame, sites: int = SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """A row per line, with the sites it takes (``need``); ``text_hash`` tells rows of one ``doc_id`` apart."""
     lines = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")))
     line = F.trim("col")
     words = F.regexp_count(line, F.lit(WORD))
-    need = F.when(words >= min_words, sites).when(words > 0, F.ceil(F.lit(sites * min_words) / words).cast("int"))
+    # Most lines are told by their first words; only the others are read whole.
+    need = F.when(line.rlike(_opens_with(min_words)), sites).when(words >= min_words, sites).when(words > 0, F.ceil(F.lit(sites * min_words) / words).cast("int"))
     return lines.select(
         "doc_id", "text_hash", F.col("pos").alias("line_no"), "source", F.xxhash64(line).alias("h1"), F.hash(line).alias("h2"),
         need.alias("need"),
