@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import check_anomaly, transaction_category
 from ..functions.times import seconds_between
 from ..schemas import FACT_SCHEMA
-from .intervals import interval_join
+from .intervals import Lanes, interval_join
 
 TIME_COLUMNS = {
     "arrival": ("booking_enqueued_time", "payment_enqueued_time"),
@@ -25,6 +25,7 @@ def correlate(
     minute_semantics: str = "elapsed",
     spread: int = 1,
     slots: bool = True,
+    lanes: list[Lanes] | None = None,
 ) -> DataFrame:
     """Pair each booking with the payments of its order up to ``minutes`` later.
 
@@ -34,7 +35,8 @@ def correlate(
     even when it came slightly before the booking.  The linear bounds given with
     it only limit the join state; every boundary match lies within them.
     ``spread`` splits the messages of a busy order on streams, and without
-    ``slots`` rows meet by order alone, see :func:`interval_join`.
+    ``slots`` rows meet by order alone; ``lanes`` splits the busy orders it names
+    only.  See :func:`interval_join`.
     """
     booked, paid = TIME_COLUMNS[time_basis]
     if minute_semantics == "elapsed":
@@ -55,6 +57,8 @@ def correlate(
         extra=extra,
         spread=spread,
         slots=slots,
+        lanes=lanes,
+        lanes_by=["payment_id"],
         spread_by=[c for c in ("booking_id", "booking_enqueued_time", "seats") if c in bookings.columns],
     )
 

@@ -30,7 +30,7 @@ from .session import prepare
 from .sources import colocated, events, replay, rescue, tables
 from .sources.replay import AS_OF, Replay
 from .sources.workspace import workspace
-from .streaming import jobs, sinks, split
+from .streaming import jobs, lanes, sinks, split
 from .streaming import replay as stream_replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -562,6 +562,28 @@ def stream_join_event_time(spark, d):
     return _pair_columns(spark.read.parquet(f"{path}/fact"))
 
 
+@query
+def stream_hot_order(spark, d):
+    """A third of all bookings and a thirtieth of the payments name one order; its lanes come from sketches of the feeds."""
+    path = workspace(spark, "hot-order")
+    source, hot = Replay(spark, d), F.lit("order_000000")
+    numbered = F.substring("booking_id", 9, 20).cast("long"), F.substring("order_id", 7, 20).cast("long")
+    merged = [
+        rows.withColumn("order_id", F.when(F.col("order_id").isNotNull() & (number % every == 0), hot).otherwise(F.col("order_id")))
+        for rows, number, every in zip((source.nested_bookings(), source.payments()), numbered, (3, 30))
+    ]
+    feeds = stream_replay.sliced_feeds(*merged, path)
+    for side, feed in zip((lanes.LEFT, lanes.RIGHT), feeds):
+        def count(batch, batch_id, side=side):
+            lanes.absorb_counts(batch, "order_id", "arrival_time", side, path, batch_id)
+
+        counts = feed.writeStream.foreachBatch(count).option("checkpointLocation", f"{path}/counted-{side}")
+        sinks.run_to_end(sinks.timed(counts, None).start())
+    rows = jobs.streaming_fact(*feeds, lanes=lanes.chosen(spark, path, rows_per_lane=200))
+    sinks.run_to_end(sinks.append_stream(rows, f"{path}/fact", f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/fact").select("order_id", "booking_id", "payment_id", "seat_number", "seat_price")
+
+
 @query
 def stream_late_rows(spark, d):
     """Payments by year, one in 29 of them delivered a year late: rows in time and rows kept apart as late."""
