@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.rules import FAILED
@@ -81,3 +82,50 @@ def section_conformance(seats: DataFrame) -> DataFrame:
     return with_event_profile(counted).select(
         "event_type", "seat_section", "seats", "revenue", known.alias("section_known")
     )
+
+
+def price_conformance(seats: DataFrame, base_col: str) -> DataFrame:
+    """Per event type: seats whose base price lies outside the type's range; null and unknown types lie in no range.
+
+    Counted before the profiles are joined, so the range is looked up once per
+    type and price, not per seat.
+    """
+    priced = seats.groupBy("event_type", F.col(base_col).alias("base")).agg(F.count("*").alias("n"))
+    low, high = F.col("base") < F.col("min_base_price"), F.col("base") > F.col("max_base_price")
+    return (
+        with_event_profile(priced)
+        .groupBy("event_type")
+        .agg(
+            F.sum("n").alias("seats"),
+            F.sum(F.when(low, F.col("n")).otherwise(0)).alias("below_range"),
+            F.sum(F.when(high, F.col("n")).otherwise(0)).alias("above_range"),
+        )
+    )
+
+
+def popularity(rows: DataFrame, key: str, profiles: DataFrame) -> DataFrame:
+    """Per kind of ``profiles``: rows, their share, and the share its weight gives it; kinds not seen count 0.
+
+    Shares are of the rows with a known kind.
+    """
+    counted = rows.groupBy(key).agg(F.count("*").alias("n"))
+    # From here on there is one row per kind of the fixed list.
+    every = W.partitionBy(F.lit(1))
+    found = profiles.select(key, "popularity_weight").join(counted, key, "left").fillna(0, ["n"])
+    return found.select(
+        key,
+        "n",
+        F.try_divide(F.col("n"), F.sum("n").over(every)).alias("share"),
+        (F.col("popularity_weight") / F.sum("popularity_weight").over(every)).alias("expected_share"),
+    )
+
+
+def duration_conformance(bookings: DataFrame) -> DataFrame:
+    """Per event type: bookings and those whose event does not last as long as is typical; unknown types have no typical length."""
+    counted = bookings.groupBy("event_type", "event_duration_hours").agg(F.count("*").alias("n"))
+    other = ~F.col("event_duration_hours").eqNullSafe(F.col("typical_duration_hours")) & F.col("typical_duration_hours").isNotNull()
+    return (
+        with_event_profile(counted)
+        .groupBy("event_type")
+        .agg(F.sum("n").alias("bookings"), F.sum(F.when(other, F.col("n")).otherwise(0)).alias("other_duration"))
+    )

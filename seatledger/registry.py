@@ -20,7 +20,15 @@ from .operators.audits import booking_total_audit, fee_audit_summary, with_deriv
 from .operators.bookings import PART, booking_problems, flatten_seats, validate_bookings, whole_bookings, with_seats
 from .operators.correlate import fact_columns, with_measures
 from .operators.intervals import interval_join
-from .operators.lookups import method_conformance, section_conformance
+from .operators.lookups import (
+    duration_conformance,
+    event_profiles,
+    method_conformance,
+    method_profiles,
+    popularity,
+    price_conformance,
+    section_conformance,
+)
 from .operators.payments import validate_payments
 from .operators.quality import REASON, length_report, rejected, split_required, tag_rejects
 from .plans import kpis, partials, report, trends
@@ -465,6 +473,85 @@ def seat_price_derivation(spark, d):
     return seats.select("booking_id", "seat_number", "seat_section", "seat_price", "derived_price")
 
 
+@query
+def fee_audit_faults(spark, d):
+    """The fee audit over payments whose parts are changed by their number, beyond and within the tolerance."""
+    n = F.substring("order_id", 7, 20).cast("long")
+    kind = n % 6
+    wrong = valid_payments(spark, d).withColumns(
+        {
+            "gst_amount": F.when(kind == 1, F.col("gst_amount") + 0.5).when(kind == 2, F.col("gst_amount") - 0.004).otherwise(F.col("gst_amount")),
+            "convenience_fee": F.when(kind == 3, F.col("convenience_fee") - 1).otherwise(F.col("convenience_fee")),
+            "service_fee": F.when(n % 31 == 0, F.lit(None)).when(kind == 4, 25.0).otherwise(F.col("service_fee")),
+            "total_amount": F.when(kind == 5, F.col("total_amount") + 0.02).otherwise(F.col("total_amount")),
+        }
+    )
+    return fee_audit_summary(wrong, ["payment_method"])
+
+
+@query
+def booking_totals_faults(spark, d):
+    """The totals audit over bookings that declare a seat too many, another amount, or have lost their seats."""
+    kind = F.substring("booking_id", 9, 20).cast("long") % 5
+    details, money = F.col("event_details"), F.col("booking_metadata")
+    amount = money["total_amount"]
+    wrong = Replay(spark, d).nested_bookings().withColumns(
+        {
+            "event_details": F.when(kind == 1, details.withField("total_seats", details["total_seats"] + 1))
+            .when(kind == 4, details.withField("seats", F.lit(None).cast("array<struct<seat_number string, seat_section string, price double>>")))
+            .otherwise(details),
+            "booking_metadata": F.when(kind == 2, money.withField("total_amount", amount + 0.5))
+            .when(kind == 3, money.withField("total_amount", amount + 0.005))
+            .otherwise(money),
+        }
+    )
+    return rounded(booking_total_audit(wrong), declared_amount=3)
+
+
+@query
+def text_lengths_faults(spark, d):
+    """The length report over a fact in which some texts are far too long and some just fit."""
+    n = F.substring("order_id", 7, 20).cast("long")
+    long = fact(spark, d).withColumns(
+        {
+            "customer_name": F.when(n % 7 == 0, F.repeat("customer_name", 100)).otherwise(F.col("customer_name")),
+            "payment_gateway": F.when(n % 11 == 0, F.rpad("payment_gateway", 50, "x"))
+            .when(n % 11 == 1, F.rpad("payment_gateway", 51, "x"))
+            .otherwise(F.col("payment_gateway")),
+            "customer_city": F.when(n % 13 == 0, F.lit(None)).when(n % 13 == 1, F.repeat("customer_city", 40)).otherwise(F.col("customer_city")),
+        }
+    )
+    return length_report(long)
+
+
+@query
+def base_price_derivation(spark, d):
+    """Seat prices from base prices with a fraction, in all known sections, an unknown one and none."""
+    seats = with_derived_price(_base_prices(spark, d), "base_price")
+    return seats.select("k", "line", "seat_section", "base_price", "derived_price")
+
+
+@query
+def base_price_report(spark, d):
+    """Base prices against the range of the event type."""
+    return price_conformance(_base_prices(spark, d), "base_price")
+
+
+@query
+def popularity_report(spark, d):
+    """How often methods and event types occur against their weights."""
+    source = Replay(spark, d)
+    methods = popularity(valid_payments(spark, d), "payment_method", method_profiles(spark))
+    kinds = popularity(source.booking_headers().select("event_details.event_type"), "event_type", event_profiles(spark))
+    both = methods.withColumnRenamed("payment_method", "kind").union(kinds.withColumnRenamed("event_type", "kind"))
+    return rounded(both, share=6, expected_share=6)
+
+
+@query
+def duration_report(spark, d):
+    return duration_conformance(Replay(spark, d).booking_headers().select("event_details.event_type", "event_details.event_duration_hours"))
+
+
 @query
 def missing_required(spark, d):
     _, bad = split_required(fact(spark, d))
@@ -647,6 +734,19 @@ def stream_events_click_purchase(spark, d):
 # --- shapes -----------------------------------------------------------------
 
 
+def _base_prices(spark, d) -> DataFrame:
+    """A base price, event type and section per line item; one section is unknown, one missing, one event type unknown."""
+    sections = ["VIP", "Premium", "Gold", "Recliner", "Standard", "Silver", "Economy", "Bronze", "Balcony"]
+    kinds = F.array(*map(F.lit, ["Concert", "Play", "Movie", "Sports", "Fair"]))
+    return replay.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("k"),
+        F.col("l_linenumber").alias("line"),
+        F.try_element_at(F.array(*map(F.lit, sections)), (F.col("l_partkey") % 10 + 1).cast("int")).alias("seat_section"),
+        F.element_at(kinds, (F.col("l_orderkey") % 5 + 1).cast("int")).alias("event_type"),
+        (F.col("l_extendedprice") / 40).alias("base_price"),
+    )
+
+
 def _partials(spark, d) -> str:
     """The fact and its sums per day, from three batches; an order's rows come in one of them."""
     home = workspace(spark, "partials")
