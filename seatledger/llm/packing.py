@@ -14,6 +14,7 @@ their length in a distributed way and look their place up.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -21,63 +22,105 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, stored
-from .tokens import LETTERS, Memory, plain_word, tokenizer
+from .tokens import Memory, plain_word, tokenizer
 
 CAPACITY = 2048
 #: Pricing rounds of the linear program, share of a length covered per round, slack of a column's price.
 ROUNDS, STEP, SLACK, STEEP = 150, 0.1, 0.05, 8.0
 #: Pieces of one length are ranked in so many parts.
 PARTS = 256
+#: Texts are tokenized together up to so many bytes; a longer one in parts of so many characters.
+TOGETHER = 1 << 22
+#: Letters as in ``tokens.LETTERS``, and marks that are a pre-token of their own behind them.
+_LETTERS_AND_MARKS = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,!?;:$%&*#]{0,8})$"
 
 
 # --- pieces -----------------------------------------------------------------
 
 
+def _raw(ids: list[int]) -> bytes:
+    """Little-endian 32-bit ids; of a few, quicker than an array."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 @cache
-def _known_ids(path: str) -> Memory:
-    encode, plain, is_plain, tails = tokenizer(path).encode_batch_fast, plain_word(path), LETTERS.fullmatch, {}
-
-    def library(words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in encode(words, add_special_tokens=False)]
-
-    cores = Memory(lambda found: [np.array(plain(core), "<u4").tobytes() for core in found])
-
-    def make(words: list[str]) -> list[bytes]:
-        out, rest, asked = [b""] * len(words), [], []
-        for i, word in enumerate(words):
-            if not word:  # between two spaces
-                continue
-            core = word.rstrip(".,")
-            tail = word[len(core) :]
-            if len(tail) > 8 or not is_plain(core):
-                rest.append(i)
-                continue
-            if tail not in tails:
-                tails[tail] = library([tail])[0]
-            asked.append((i, core.lower(), tail))
-        # Words that differ by what follows them or by capitals share their letters' ids.
-        for (i, _, tail), ids in zip(asked, cores.of([core for _, core, _ in asked])):
-            out[i] = ids + tails[tail]
-        for i, ids in zip(rest, library([words[i] for i in rest])):
-            out[i] = ids
-        return out
-
-    return Memory(make)
+def _known(path: str) -> tuple[Memory, Memory]:
+    """Ids of words of letters in lower case, by the library's model alone, and of all other words."""
+    encode, plain = tokenizer(path).encode_batch_fast, plain_word(path)
+    cores = Memory(lambda words: [_raw(plain(word)) for word in words])
+    return cores, Memory(lambda words: [_raw(e.ids) for e in encode(words, add_special_tokens=False)])
 
 
-def token_ids(text: str, path: str) -> np.ndarray:
-    """Ids of a text under a tokenizer that drops white space.
+def _gathered(pool: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of ``pool`` one after the other, and where each begins and ends."""
+    ends = np.concatenate([[0], np.cumsum(size)])
+    return pool[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])], ends
+
+
+def _word_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct words, one after the other, and where each begins and ends.
+
+    Words that differ by capitals or by the marks behind them share their
+    letters' ids; marks never merge with letters.
+    """
+    cores, others = _known(path)
+    parted = pc.extract_regex(words, _LETTERS_AND_MARKS)
+    letters = pc.utf8_lower(pc.struct_field(parted, "letters")).dictionary_encode()
+    marks = pc.struct_field(parted, "marks").dictionary_encode()
+    plain = pc.is_valid(parted)
+    rest = words.filter(pc.invert(plain))
+    plain = plain.to_numpy(zero_copy_only=False)
+    # Each word is two pieces: letters and marks, or itself and nothing.
+    n, m = len(letters.dictionary), len(marks.dictionary)
+    pieces = cores.of(letters.dictionary.to_pylist()) + others.of(marks.dictionary.to_pylist()) + others.of(rest.to_pylist()) + [b""]
+    which = np.full((len(words), 2), len(pieces) - 1)
+    which[plain, 0] = letters.indices.drop_null().to_numpy()
+    which[plain, 1] = n + marks.indices.drop_null().to_numpy()
+    which[~plain, 0] = n + m + np.arange(len(rest))
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+    which = which.ravel()
+    ids, ends = _gathered(np.frombuffer(b"".join(pieces), "<u4"), (np.cumsum(size) - size)[which], size[which])
+    return ids, ends[::2]
+
+
+def all_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts under a tokenizer that drops white space, one after the other, and where each text's begin and end.
 
     Such a tokenizer treats what stands between spaces or line ends on its own:
-    normal forms, pre-tokens and special strings never reach across them.
+    normal forms, pre-tokens and special strings never reach across them.  So
+    the words of all texts are numbered, each distinct one is looked up once,
+    and the ids are put together by number.  A null text is empty.
     """
-    words = text.replace("\n", " ").split(" ")
-    return np.frombuffer(b"".join(_known_ids(path).of(words)), "<u4")
+    spaced = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+    lists = pc.split_pattern(spaced, " ")
+    words = lists.flatten().dictionary_encode()
+    pool, ends = _word_ids(words.dictionary, path)
+    number = words.indices.to_numpy()
+    ids, ends = _gathered(pool, ends[number], np.diff(ends)[number])
+    return ids, ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+
+def token_ids(text: str, path: str) -> np.ndarray:
+    """Ids of one text; a long one is worked on in parts that end between words."""
+    parts = [all_ids(pa.array([part]), path)[0] for part in _parts(text)]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
+def _parts(text: str) -> Iterator[str]:
+    start = 0
+    while len(text) - start > TOGETHER:
+        found = [i for i in (text.find(c, start + TOGETHER) for c in " \n") if i >= 0]
+        if not found:
+            break
+        yield text[start : min(found)]
+        start = min(found)
+    yield text[start:]
 
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -89,10 +132,15 @@ def _cut(path: str, capacity: int, with_ids: bool):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TOGETHER):
                 rows = []
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    ids = np.append(token_ids(text or "", path), np.uint32(0)).astype("<u4")
+                if part.num_rows == 1:
+                    found = token_ids(part.column("text")[0].as_py() or "", path)
+                    ends = np.array([0, len(found)])
+                else:
+                    found, ends = all_ids(part.column("text"), path)
+                for doc_id, begin, end in zip(part.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
+                    ids = np.append(found[begin:end], np.uint32(0)).astype("<u4")
                     for piece, start in enumerate(range(0, len(ids), capacity)):
                         raw = ids[start : start + capacity].tobytes()
                         row = (doc_id, piece, start, len(raw) // 4, zlib.crc32(raw), raw)
