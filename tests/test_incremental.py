@@ -13,7 +13,7 @@ from seatledger.operators.quality import split_required
 from seatledger.plans import kpis, partials
 from seatledger.plans.fact import booking_fact
 from seatledger.registry import _summary, _weekly
-from seatledger.schemas import BOOKING_SCHEMA, RECORD_SCHEMA
+from seatledger.schemas import BOOKING_SCHEMA, PAYMENT_SCHEMA, RECORD_SCHEMA
 from seatledger.sources import colocated, rescue, tables
 from seatledger.sources.events import decode_bookings, decode_payments, encode_events
 from seatledger.sources.replay import AS_OF, Replay
@@ -229,3 +229,24 @@ def test_texts_that_are_no_events(spark):
 def test_public_schema_has_no_part_number(spark):
     again = decode_bookings(encode_events(decode_bookings(records(spark, [BOOKING])), BOOKING_SCHEMA))
     assert "message_part" not in again.columns
+
+
+# --- work done once ---------------------------------------------------------
+
+
+def full_plan(spark, df):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "2000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_records_are_made_and_parsed_once(spark, sf):
+    """A filter on decoded fields does not repeat the parsing, nor the writing of the text before it."""
+    source = Replay(spark, sf)
+    bookings = validate_bookings(decode_bookings(encode_events(source.booking_headers(), BOOKING_SCHEMA)))
+    payments = validate_payments(decode_payments(encode_events(source.payments(), PAYMENT_SCHEMA)))
+    for rows in (bookings, payments):
+        text = full_plan(spark, rows)
+        assert text.count("from_json(") == 1 and text.count("StructsToJsonEvaluator(") == 1
