@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .sinks import BATCH, timed
@@ -27,17 +28,22 @@ def split_stream(
     checkpoint: str,
     *,
     every: str | None = None,
+    written: Callable[[str, int], None] | None = None,
 ) -> StreamingQuery:
     """Write each row to the output that the column ``output`` names; the feed is read once.
 
     ``output`` may also be a function of a batch and its number that adds the
     column.  Null names the output ``__HIVE_DEFAULT_PARTITION__`` nothing reads, so give
-    every row one.
+    every row one.  ``written`` is called with the folder and number of a batch that is
+    written, before the batch counts as done.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = output(batch, batch_id) if callable(output) else batch.withColumn(OUTPUT, output)
-        tagged.write.mode("overwrite").partitionBy(OUTPUT).parquet(f"{path}/{BATCH}={batch_id}")
+        folder = f"{path}/{BATCH}={batch_id}"
+        tagged.write.mode("overwrite").partitionBy(OUTPUT).parquet(folder)
+        if written is not None:
+            written(folder, batch_id)
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return timed(writer, every).start()
@@ -54,22 +60,26 @@ def split_late(df: DataFrame, time: str, delay_seconds: int, path: str, checkpoi
     The watermark of a batch is the latest ``time`` of the batches before it less
     ``delay_seconds``, as Spark's own: a row at it or before is late.  The latest time
     of each batch is kept beside the outputs under the batch's number, so a batch
-    that is run again finds the watermark it had.  Rows without a time are never late.
-    The first batch has no watermark.
+    that is run again finds the watermark it had.  It is read from the written batch,
+    one column of it, so the batch itself is made once.  Rows without a time are never
+    late.  The first batch has no watermark.
     """
     spark = df.sparkSession
+    layout = T.StructType([df.schema[time]])
+
+    def keep_latest(folder: str, batch_id: int) -> None:
+        latest = spark.read.schema(layout).parquet(folder).agg(F.max(time).alias("latest"))
+        latest.write.mode("overwrite").parquet(f"{path}-marks/{BATCH}={batch_id}")
 
     def mark(batch: DataFrame, batch_id: int) -> DataFrame:
         before = _latest_before(spark, path, batch_id) if batch_id else None
-        latest = batch.agg(F.max(time).alias("latest"))
-        latest.write.mode("overwrite").parquet(f"{path}-marks/{BATCH}={batch_id}")
         behind = F.lit(None).cast("double")
         if before is not None:
             behind = F.lit(before - delay_seconds) - F.unix_micros(time) / F.lit(1e6)
         late = F.coalesce(behind >= 0, F.lit(False))
         return batch.withColumn(DELAY_SECONDS, F.when(late, behind)).withColumn(OUTPUT, F.when(late, LATE).otherwise(ON_TIME))
 
-    return split_stream(df, mark, path, checkpoint, every=every)
+    return split_stream(df, mark, path, checkpoint, every=every, written=keep_latest)
 
 
 def _latest_before(spark: SparkSession, path: str, batch_id: int) -> float | None:

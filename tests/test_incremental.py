@@ -19,7 +19,7 @@ from seatledger.sources.events import decode_bookings, decode_payments, encode_e
 from seatledger.sources.replay import AS_OF, Replay
 from seatledger.sources.workspace import workspace
 from seatledger.streaming import jobs, sinks, split
-from seatledger.streaming.replay import sliced_feeds
+from seatledger.streaming.replay import append_slices, sliced_feeds
 
 
 def same(a, b):
@@ -250,3 +250,29 @@ def test_records_are_made_and_parsed_once(spark, sf):
     for rows in (bookings, payments):
         text = full_plan(spark, rows)
         assert text.count("from_json(") == 1 and text.count("StructsToJsonEvaluator(") == 1
+
+
+
+def test_a_batch_with_late_rows_is_made_once(spark):
+    path, made = workspace(spark, "made-once"), spark.sparkContext.accumulator(0)
+
+    @F.udf("timestamp")
+    def counted(time):
+        made.add(1)
+        return time
+
+    put(spark, f"{path}/in", [(i, at(i)) for i in range(10)])
+    stream = spark.readStream.schema("id long, at timestamp").parquet(f"{path}/in").withColumn("at", counted("at"))
+    sinks.run_to_end(split.split_late(stream, "at", 60, f"{path}/out", f"{path}/checkpoint"))
+    assert split.read_output(spark, f"{path}/out", split.ON_TIME).count() == 10
+    assert made.value == 10
+
+
+def test_files_of_a_slice_grow_with_its_rows(spark):
+    path = workspace(spark, "slice-files")
+    staged = spark.range(40).selectExpr("'k' AS key", "CAST(id AS string) AS value", "timestamp_seconds(id) AS timestamp", "IF(id < 35, 1, 2) AS slice")
+    files = append_slices(staged, f"{path}/feed", rows_per_file=10)
+    assert files == 4
+    stored = spark.read.parquet(f"{path}/feed").filter("value <> '{}'")
+    assert stored.count() == 40 and stored.select("file").distinct().count() == 4
+    assert spark.read.parquet(f"{path}/feed").select(F.input_file_name()).distinct().count() == 2 * files
