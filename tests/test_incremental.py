@@ -252,6 +252,13 @@ def test_records_are_made_and_parsed_once(spark, sf):
         assert text.count("from_json(") == 1 and text.count("StructsToJsonEvaluator(") == 1
 
 
+def test_a_record_is_looked_through_once(spark):
+    """One parse into a tree, one look per field and per array, whatever is asked about them."""
+    text = full_plan(spark, rescue.decode_rescued(records(spark, [BOOKING], [START]), BOOKING_SCHEMA))
+    fields = sum(1 for _ in rescue._checks(BOOKING_SCHEMA, "$", ""))
+    assert text.count("parseJson(") == 1
+    assert text.count("try_variant_get(") <= fields + 10
+
 
 def test_a_batch_with_late_rows_is_made_once(spark):
     path, made = workspace(spark, "made-once"), spark.sparkContext.accumulator(0)
