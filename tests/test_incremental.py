@@ -283,3 +283,24 @@ def test_files_of_a_slice_grow_with_its_rows(spark):
     stored = spark.read.parquet(f"{path}/feed").filter("value <> '{}'")
     assert stored.count() == 40 and stored.select("file").distinct().count() == 4
     assert spark.read.parquet(f"{path}/feed").select(F.input_file_name()).distinct().count() == 2 * files
+
+
+def test_a_slice_without_a_time_is_kept(spark):
+    path = workspace(spark, "no-time")
+    staged = spark.range(4).selectExpr("'k' AS key", "CAST(id AS string) AS value", "CAST(NULL AS timestamp) AS timestamp", "IF(id < 3, 1, NULL) AS slice")
+    append_slices(staged, f"{path}/feed")
+    assert spark.read.parquet(f"{path}/feed").filter("value <> '{}'").count() == 4
+
+
+def test_stored_facts_move_whole_pairs(spark, sf):
+    """Seats are unpacked after the last move of rows, whatever day they are stored under."""
+    source = Replay(spark, sf)
+    placed = booking_fact(source.nested_bookings(), source.payments(), by_day=True)
+    lines = full_plan(spark, placed).splitlines()
+    unpacked = next(i for i, line in enumerate(lines) if "Generate inline(seats" in line)
+    assert not any("Exchange" in line for line in lines[:unpacked])
+    assert any("REBALANCE_PARTITIONS_BY_COL" in line for line in lines[unpacked:])
+    path = workspace(spark, "placed")
+    tables.write_checked(placed, path, placed=True)
+    plain = tables.tagged(booking_fact(source.seat_messages(), source.payments()))
+    assert same(spark.read.parquet(path).select(*plain.columns), plain)
