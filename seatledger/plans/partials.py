@@ -26,6 +26,8 @@ from . import kpis
 DAY = "booking_date"
 #: log2 of a sketch's registers: a standard error of 1.04 / 2^(bits / 2), 1.6 % with 12.
 SKETCH_BITS = 12
+#: A file of the fact holds about so many rows.
+ROWS_PER_FILE = 50_000
 
 
 def _grains() -> dict[str, tuple[list[str], dict]]:
@@ -55,11 +57,33 @@ def absorb(rows: DataFrame, home: str, batch_id: int) -> None:
     """
     spark = rows.sparkSession
     folder = f"{home}/fact/{BATCH}={batch_id}"
-    # Files hold a range of days each, so a day's rows are found without a folder per day.
-    by_day = rows.select(*FACT_COLUMNS).withColumn(DAY, F.to_date("booking_time")).repartitionByRange(DAY).sortWithinPartitions(DAY)
-    by_day.write.mode("overwrite").parquet(folder)
-    touched = spark.read.parquet(folder).select(DAY).distinct()
-    refresh(spark, home, batch_id, [day for (day,) in touched.collect()])  # as many as the calendar has days
+    rows = rows.select(*FACT_COLUMNS).withColumn(DAY, F.to_date("booking_time"))
+    sizes = dict(rows.groupBy(DAY).count().collect())  # as many as the calendar has days
+    _in_files_of_days(rows, sizes).sortWithinPartitions(DAY).write.mode("overwrite").parquet(folder)
+    refresh(spark, home, batch_id, list(sizes))
+
+
+def _in_files_of_days(rows: DataFrame, sizes: dict[dt.date | None, int], rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Rows placed so that a file holds a range of days, and a day's rows are found without a folder per day.
+
+    The rows of each day are counted already, so no wide row is read for a sample
+    as a placement by range would.  A day too big for a file is dealt to several.
+    """
+    places, file, held = [], 0, 0
+    for day in sorted(sizes, key=lambda day: (day is not None, day)):
+        parts = -(-sizes[day] // rows_per_file)
+        if held + sizes[day] > rows_per_file and held:
+            file, held = file + 1, 0
+        places.append((day, file, parts))
+        if parts > 1:
+            file += parts
+        else:
+            held += sizes[day]
+    place = rows.sparkSession.createDataFrame(places, "__day date, __file int, __parts int")
+    found = rows.join(F.broadcast(place), F.col(DAY).eqNullSafe(F.col("__day")), "left")
+    draw = F.pmod(F.xxhash64("order_id", "payment_id", "seat_number"), F.col("__parts"))
+    number = F.coalesce(F.col("__file") + draw, F.lit(0)).cast("int")
+    return found.withColumn("__number", number).repartitionById(file + 1, "__number").drop("__day", "__file", "__parts", "__number")
 
 
 def refresh(spark: SparkSession, home: str, batch_id: int, days: list[dt.date] | None = None) -> None:

@@ -292,6 +292,17 @@ def test_a_slice_without_a_time_is_kept(spark):
     assert spark.read.parquet(f"{path}/feed").filter("value <> '{}'").count() == 4
 
 
+def test_files_hold_a_range_of_days_and_big_days_are_dealt(spark):
+    days = spark.range(1000).selectExpr("CAST(id AS string) AS order_id", "'p' AS payment_id", "'s' AS seat_number", "IF(id < 500, DATE'2026-01-01', IF(id < 510, NULL, date_add(DATE'2026-01-02', CAST(id % 49 AS int)))) AS booking_date")
+    sizes = dict(days.groupBy("booking_date").count().collect())
+    files = partials._in_files_of_days(days, sizes, rows_per_file=100).withColumn("file", F.spark_partition_id())
+    assert "RangePartitioning" not in plan(files) and files.drop("file").exceptAll(days).count() == 0 and files.count() == 1000
+    held = files.groupBy("file").agg(F.count("*").alias("n"), F.min("booking_date").alias("first"), F.max("booking_date").alias("last")).collect()
+    assert max(r.n for r in held) <= 150 and sum(str(r.first) == "2026-01-01" and r.first == r.last for r in held) == 5
+    rest = sorted((r.first, r.last) for r in held if r.first and str(r.first) > "2026-01-01")
+    assert len(rest) >= 5 and all(a[1] < b[0] for a, b in zip(rest, rest[1:]))
+
+
 def test_stored_facts_move_whole_pairs(spark, sf):
     """Seats are unpacked after the last move of rows, whatever day they are stored under."""
     source = Replay(spark, sf)
