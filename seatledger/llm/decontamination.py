@@ -387,6 +387,7 @@ def _searched(items: Items, weights: np.ndarray, directions: np.ndarray, cosine:
 
 
 _LEAK = "doc_id long, text_hash long, item_id long, word long, cosine double, covered double, answer_covered double"
+_NO_LEAKS = pa.table({name: pa.array([], {"long": pa.int64(), "double": pa.float64()}[kind]) for name, kind in map(str.split, _LEAK.split(", "))})
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, cover: float = COVER, answer: float = ANSWER) -> DataFrame:
@@ -406,7 +407,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, cover:
     blocks = max(1, -(-items.count() // BLOCK))
     dealt = items.withColumn("b", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    found = spark.createDataFrame([], _LEAK)
+    # From Arrow: plain rows, none too, would go through more Python workers, beside those that search.
+    found = spark.createDataFrame(_NO_LEAKS)
     for b in range(blocks):  # the stated queries against all rows, in blocks
         block = Items.of(sorted((r["item_id"], r["text"]) for r in dealt.filter(F.col("b") == b).collect()))
         if not block.ids:

@@ -14,11 +14,11 @@ their length in a distributed way and look their place up.
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, stored
-from .tokens import Memory, plain_word, tokenizer
+from .tokens import plain_word, tokenizer
 
 CAPACITY = 2048
 #: Pricing rounds of the linear program, share of a length covered per round, slack of a column's price.
@@ -37,6 +37,8 @@ ROUNDS, STEP, SLACK, STEEP = 150, 0.1, 0.05, 8.0
 PARTS = 256
 #: Texts are tokenized together up to so many bytes; a longer one in parts of so many characters.
 TOGETHER = 1 << 22
+#: Bytes of remembered words and their ids, of each of two kinds; words whose ids are put together at a time.
+KNOWN, STRETCHES = 1 << 23, 1 << 16
 #: Letters as in ``tokens.LETTERS``, and marks that are a pre-token of their own behind them.
 _LETTERS_AND_MARKS = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,!?;:$%&*#]{0,8})$"
 
@@ -44,23 +46,52 @@ _LETTERS_AND_MARKS = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,!?;:$%
 # --- pieces -----------------------------------------------------------------
 
 
-def _raw(ids: list[int]) -> bytes:
-    """Little-endian 32-bit ids; of a few, quicker than an array."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+class _Known:
+    """Ids of words, packed into arrays; keeps the last call's words only where all would take more than ``KNOWN`` bytes."""
+
+    def __init__(self, make: Callable[[list[str]], Iterable[list[int]]]):
+        self.make, self.words = make, pa.array([], pa.large_string())
+        self.ids, self.ends = np.empty(0, "<u4"), np.zeros(1, np.int64)
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``words``, one after the other, and where each begins and ends; ``make`` gets lists of new words."""
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(at)).unique()
+        if len(new):
+            ids, sizes = [], []
+            for start in range(0, len(new), 1000):
+                found = self.make(new.slice(start, 1000).to_pylist())
+                sizes += map(len, found)
+                ids.append(np.fromiter(chain.from_iterable(found), "<u4"))
+            if self.words.nbytes + new.nbytes + self.ids.nbytes + self.ends.nbytes > KNOWN:
+                used = at.drop_null().unique()
+                self.words = self.words.take(used)
+                self.ids, self.ends = _gathered(self.ids, self.ends, used.to_numpy())
+            self.words = pa.concat_arrays([self.words, new])
+            self.ids, self.ends = np.concatenate([self.ids, *ids]), np.append(self.ends, self.ends[-1] + np.cumsum(sizes))
+            at = pc.index_in(words, value_set=self.words)
+        return _gathered(self.ids, self.ends, at.to_numpy())
 
 
 @cache
-def _known(path: str) -> tuple[Memory, Memory]:
+def _known(path: str) -> tuple[_Known, _Known]:
     """Ids of words of letters in lower case, by the library's model alone, and of all other words."""
     encode, plain = tokenizer(path).encode_batch_fast, plain_word(path)
-    cores = Memory(lambda words: [_raw(plain(word)) for word in words])
-    return cores, Memory(lambda words: [_raw(e.ids) for e in encode(words, add_special_tokens=False)])
+    return _Known(lambda words: list(map(plain, words))), _Known(lambda words: [e.ids for e in encode(words, add_special_tokens=False)])
 
 
-def _gathered(pool: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Stretches of ``pool`` one after the other, and where each begins and ends."""
-    ends = np.concatenate([[0], np.cumsum(size)])
-    return pool[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])], ends
+def _gathered(pool: np.ndarray, ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches ``which`` of ``pool`` (k begins and ends at ``ends[k]`` and the next) one after the other, and where each begins and ends.
+
+    Some stretches at a time, as the numbers of their places take more room than the ids.
+    """
+    sizes, out_ends = np.diff(ends), np.zeros(len(which) + 1, np.int64)
+    np.cumsum(sizes[which], out=out_ends[1:])
+    out = np.empty(out_ends[-1], pool.dtype)
+    for start in range(0, len(which), STRETCHES):
+        some, to = which[start : start + STRETCHES], out_ends[start : start + STRETCHES + 1]
+        out[to[0] : to[-1]] = pool[np.repeat(ends[some] - to[:-1], sizes[some]) + np.arange(to[0], to[-1])]
+    return out, out_ends
 
 
 def _word_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -78,14 +109,14 @@ def _word_ids(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     plain = plain.to_numpy(zero_copy_only=False)
     # Each word is two pieces: letters and marks, or itself and nothing.
     n, m = len(letters.dictionary), len(marks.dictionary)
-    pieces = cores.of(letters.dictionary.to_pylist()) + others.of(marks.dictionary.to_pylist()) + others.of(rest.to_pylist()) + [b""]
-    which = np.full((len(words), 2), len(pieces) - 1)
+    (core_ids, core_ends), (ids, ends) = cores.of(letters.dictionary), others.of(pa.concat_arrays([marks.dictionary, rest]))
+    pool = np.concatenate([core_ids, ids])
+    ends = np.concatenate([core_ends, len(core_ids) + ends[1:], [len(pool)]])
+    which = np.full((len(words), 2), len(ends) - 2)
     which[plain, 0] = letters.indices.drop_null().to_numpy()
     which[plain, 1] = n + marks.indices.drop_null().to_numpy()
     which[~plain, 0] = n + m + np.arange(len(rest))
-    size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-    which = which.ravel()
-    ids, ends = _gathered(np.frombuffer(b"".join(pieces), "<u4"), (np.cumsum(size) - size)[which], size[which])
+    ids, ends = _gathered(pool, ends, which.ravel())
     return ids, ends[::2]
 
 
@@ -99,11 +130,11 @@ def all_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """
     spaced = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
     lists = pc.split_pattern(spaced, " ")
+    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     words = lists.flatten().dictionary_encode()
-    pool, ends = _word_ids(words.dictionary, path)
-    number = words.indices.to_numpy()
-    ids, ends = _gathered(pool, ends[number], np.diff(ends)[number])
-    return ids, ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+    del spaced, lists  # as large as the texts
+    ids, ends = _gathered(*_word_ids(words.dictionary, path), words.indices.to_numpy())
+    return ids, ends[offsets]
 
 
 def token_ids(text: str, path: str) -> np.ndarray:
@@ -289,7 +320,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark, cut = cut.sparkSession, cut.drop("sequence_id", "offset")
     histogram = {int(r["length"]): r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     places = _places(configurations(histogram, capacity)) or [(0, 0, 0, 1, 0)]
-    table = spark.createDataFrame(places, "length long, first long, sequence long, per long, at long")
+    # From Arrow: plain rows would go through more Python workers, beside those that made the pieces.
+    table = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in zip(*places)], ["length", "first", "sequence", "per", "at"]))
     runs = table.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("first", "sequence", "per", "at"))).alias("_runs"))
 
     order = ["doc_id", "piece", "start", "ids_crc32"]

@@ -1,8 +1,10 @@
 """Token counts and packing against the library and against bounds."""
 
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import public_tokenizers
 
@@ -97,3 +99,46 @@ def test_configurations_hold_exactly_the_pieces():
 def test_awkward_lengths_beat_first_fit():
     """Three kinds that fill a sequence only together: the program finds the mixture."""
     assert sum(packing.configurations({51: 1000, 27: 1000, 22: 1000}, 100).values()) <= 1010
+
+
+def test_words_forgotten_give_the_same_ids(monkeypatch):
+    encode = tokens.tokenizer(WORDS).encode
+    for known in (0, 200):
+        monkeypatch.setattr(packing, "KNOWN", known)
+        monkeypatch.setattr(packing, "STRETCHES", 3)
+        packing._known.cache_clear()
+        for t in texts(200, 40) + ["", "a " * 50, "x" * 5000]:
+            assert packing.token_ids(t, WORDS).tolist() == encode(t, add_special_tokens=False).ids, t
+    packing._known.cache_clear()
+
+
+def test_workers_hold_little_beside_the_ids():
+    """What stays of 200,000 words, and what a text of few words takes for a moment."""
+    rng = random.Random(2)
+    words = list({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(200_000)})
+    packing.token_ids("warm up", WORDS)
+    packing._known.cache_clear()
+    few = pa.array([" ".join(words[:1000] * 500)])
+    held = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        for start in range(0, len(words), 50_000):
+            packing.all_ids(pa.array([" ".join(words[start : start + 50_000])]), WORDS)
+        kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - held
+        tracemalloc.reset_peak()
+        ids, _ = packing.all_ids(few, WORDS)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        packing._known.cache_clear()
+    assert kept < 20e6
+    assert peak - kept < ids.nbytes + 30e6
+
+
+def test_places_need_no_python_rows(spark, monkeypatch):
+    """Plain rows would go through workers of another kind, beside those that made the pieces."""
+    cut = spark.range(9).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "id % 3 + 1 AS length", "id AS ids_crc32")
+    made, create = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: made.append(type(data)) or create(self, data, *a, **k))
+    assert packing.pack(cut, 4).count() == 9
+    assert made == [pa.Table]
