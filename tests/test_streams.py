@@ -1,7 +1,9 @@
 """Streams against their batch twins, in many files and any order."""
 
 import datetime as dt
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from samples import BOOKING, PAYMENT, START, changed, records
@@ -10,7 +12,7 @@ from seatledger.plans.fact import booking_fact
 from seatledger.plans.trends import windowed_revenue
 from seatledger.registry import _fact_text
 from seatledger.schemas import BOOKING_SCHEMA, MESSAGE_SCHEMA, PAYMENT_SCHEMA
-from seatledger.sources.events import decode_bookings, decode_payments, encode_events, read_records
+from seatledger.sources.events import decode_booking_messages, decode_bookings, decode_payments, encode_events, read_records
 from seatledger.sources.replay import Replay
 from seatledger.sources.workspace import workspace
 from seatledger.streaming import jobs, sinks
@@ -173,3 +175,48 @@ def test_running_success_over_files(spark, feeds):
     row = sinks.latest(spark, f"{path}/data", []).first()
     rows = decoded(spark, feeds)[1]
     assert tuple(row) == (rows.count(), rows.filter("payment_status = 'Success'").count())
+
+
+def shuffle_files(spark):
+    """Shuffle files this session holds on disk."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f.name for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+
+
+def test_feeds_and_state_take_little_disk(spark, sf):
+    """Feeds are staged as columns and packed, shuffles go after each batch, and old versions of the state are not kept."""
+    path, source = workspace(spark, "disk"), Replay(spark, sf)
+    before = shuffle_files(spark)
+    feeds = sliced_feeds(source.nested_bookings(), source.payments(), path)
+    for name, schema in (("bookings", MESSAGE_SCHEMA), ("payments", PAYMENT_SCHEMA)):
+        assert spark.read.parquet(f"{path}/staged-{name}").columns == [*schema.fieldNames(), "arrival_time"]
+        slices = [pq.read_metadata(f) for f in Path(f"{path}/{name}").rglob("*.parquet")]
+        assert {m.row_group(0).column(0).compression for m in slices} == {"ZSTD"}
+    query = sinks.append_stream(jobs.streaming_fact(*feeds), f"{path}/data", f"{path}/checkpoint")
+    sinks.run_to_end(query)
+    assert not shuffle_files(spark) - before
+    assert spark.read.parquet(f"{path}/data").count() > 100
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    # One store a partition of the join, and the commits of the last batches only.
+    stores = [f for f in Path(f"{path}/checkpoint/state/0/0").iterdir() if f.is_dir()]
+    assert not [f for f in stores if "-key" in f.name]
+    assert len([f for f in Path(f"{path}/checkpoint/commits").iterdir() if f.name.isdigit()]) <= 4
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(state) > 0 and sinks.late_rows(query) == 0
+
+
+def test_staged_events_give_the_records_of_the_events(spark):
+    """Each slice's records are those of the events themselves, each once, and an event without a time is in none."""
+    path = workspace(spark, "staged")
+    odd = [BOOKING, changed(BOOKING, order_id=None), changed(BOOKING, event_details__seats=[]), changed(BOOKING, customer=None), BOOKING]
+    paid = [changed(PAYMENT, payment_id=f"p{i}", amount=None if i == 3 else PAYMENT["amount"]) for i in range(9)]
+    made = {}
+    for name, given, decode in (("bookings", odd, decode_booking_messages), ("payments", paid, decode_payments)):
+        untimed = records(spark, given[:1]).withColumn("timestamp", F.lit(None).cast("timestamp"))
+        timed = records(spark, given, [later(1000.25 * i) for i in range(len(given))])
+        made[name] = decode(timed.union(untimed))
+    sliced_feeds(made["bookings"], made["payments"], path, slices=3)
+    for name, schema, many in (("bookings", MESSAGE_SCHEMA, len(odd)), ("payments", PAYMENT_SCHEMA, len(paid))):
+        fed = read_records(spark, f"{path}/{name}", "parquet").filter("value != '{}'").drop("file")
+        assert fed.count() == many and same(fed, encode_events(made[name], schema).filter("timestamp is not null"))
+    assert spark.read.parquet(f"{path}/staged-payments").columns == [*PAYMENT_SCHEMA.fieldNames(), "arrival_time"]
