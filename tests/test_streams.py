@@ -220,3 +220,12 @@ def test_staged_events_give_the_records_of_the_events(spark):
         fed = read_records(spark, f"{path}/{name}", "parquet").filter("value != '{}'").drop("file")
         assert fed.count() == many and same(fed, encode_events(made[name], schema).filter("timestamp is not null"))
     assert spark.read.parquet(f"{path}/staged-payments").columns == [*PAYMENT_SCHEMA.fieldNames(), "arrival_time"]
+
+
+def test_a_slice_of_many_rows_is_read_by_several_tasks(spark):
+    """Records are parsed by a task per file, which at 200,000 rows a file left most cores idle."""
+    path = workspace(spark, "many")
+    rows = spark.range(60_000).selectExpr("CAST(NULL AS string) AS key", "'{\"order_id\": \"x\"}' AS value", "timestamp_seconds(id) AS timestamp")
+    sliced_feeds(decode_booking_messages(rows.limit(10)), decode_payments(rows), path, slices=1)
+    fed = read_records(spark, f"{path}/payments", "parquet").filter("value != '{}'")
+    assert fed.count() == 60_000 and len({f.parent.name for f in Path(f"{path}/payments").rglob("*.parquet")}) == 2
